@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from tidemark.llm import op1_quality_rules as op1
+from tidemark.llm import op2_chat_format as op2
+from tidemark.llm import op5_sentencepiece as op5
 from tidemark.llm import op7_decontamination as op7
 
 
 def queries():
     return {
         "op1_quality_rules": op1.op1_quality_rules,
+        "op2_chat_format": op2.op2_chat_format,
+        "op5_sentencepiece": op5.op5_sentencepiece,
         "op7_decontamination": op7.op7_decontamination,
     }
 
 
 def oracle_sql():
-    return {"op1_quality_rules": op1.ORACLE_SQL}
+    return {"op1_quality_rules": op1.ORACLE_SQL, "op2_chat_format": op2.ORACLE_SQL}
