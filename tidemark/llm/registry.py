@@ -5,7 +5,10 @@ from __future__ import annotations
 from tidemark.llm import op1_quality_rules as op1
 from tidemark.llm import op2_chat_format as op2
 from tidemark.llm import op5_sentencepiece as op5
+from tidemark.llm import op6_quality_classifier as op6
 from tidemark.llm import op7_decontamination as op7
+from tidemark.llm import op8_language_id as op8
+from tidemark.llm import op10_toxicity as op10
 
 
 def queries():
@@ -13,7 +16,10 @@ def queries():
         "op1_quality_rules": op1.op1_quality_rules,
         "op2_chat_format": op2.op2_chat_format,
         "op5_sentencepiece": op5.op5_sentencepiece,
+        "op6_quality_classifier": op6.op6_quality_classifier,
         "op7_decontamination": op7.op7_decontamination,
+        "op8_language_id": op8.op8_language_id,
+        "op10_toxicity": op10.op10_toxicity,
     }
 
 
