@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from typing import Any
 
 import pyarrow as pa
@@ -18,11 +21,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder named by spark.checkpoint.dir; a folder of our own only where none is set."""
-    context = df.sparkSession.sparkContext
-    if df.sparkSession.conf.get("spark.checkpoint.dir", None) is None and context.getCheckpointDir() is None:
+def shipped(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a context: they needn't have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    top = Path(__file__).resolve().parent.parent
+    into = Path(tempfile.mkdtemp(prefix="tidemark-code-"))
+    file = into / f"tidemark-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(file, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, p.relative_to(top.parent))
+    context.addPyFile(str(file))
+    context._tidemark_shipped = True
+
+
+def arrow_map(df: DataFrame, function, schema) -> DataFrame:
+    shipped(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; one of our own only where none is set."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
+    return (named or context.getCheckpointDir()).rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -56,7 +86,7 @@ def map_texts(df: DataFrame, columns: list[str], text: str, schema: str, make: C
                 arrays += [pa.array(got[f.name], type=arrow.field(f.name).type) for f in made.fields]
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
-    return inputs.mapInArrow(run, out)
+    return arrow_map(inputs, run, out)
 
 
 def chunks(raw: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:

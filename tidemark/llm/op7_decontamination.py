@@ -183,7 +183,7 @@ def _pass(docs: DataFrame, key: str, block, window: int) -> DataFrame:
                 col |= {"n_words": n, "spans": spans, "longest": longest, "items": items}
                 yield pa.RecordBatch.from_arrays([pa.array(col[f.name], type=f.type) if isinstance(col[f.name], list) else col[f.name] for f in batch.schema], schema=batch.schema)
 
-    return docs.mapInArrow(run, schema)
+    return common.arrow_map(docs, run, schema)
 
 
 def benchmark_hits(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text", keep: list[str] | None = None, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from tidemark.llm import op1_quality_rules as op1
 from tidemark.llm import op2_chat_format as op2
+from tidemark.llm import op3_token_counts as op3
+from tidemark.llm import op4_simhash as op4
 from tidemark.llm import op5_sentencepiece as op5
 from tidemark.llm import op6_quality_classifier as op6
 from tidemark.llm import op7_decontamination as op7
@@ -15,6 +17,8 @@ def queries():
     return {
         "op1_quality_rules": op1.op1_quality_rules,
         "op2_chat_format": op2.op2_chat_format,
+        "op3_token_counts": op3.op3_token_counts,
+        "op4_simhash": op4.op4_simhash,
         "op5_sentencepiece": op5.op5_sentencepiece,
         "op6_quality_classifier": op6.op6_quality_classifier,
         "op7_decontamination": op7.op7_decontamination,
