@@ -10,6 +10,7 @@ from tidemark.llm import op5_sentencepiece as op5
 from tidemark.llm import op6_quality_classifier as op6
 from tidemark.llm import op7_decontamination as op7
 from tidemark.llm import op8_language_id as op8
+from tidemark.llm import op9_suffix_array as op9
 from tidemark.llm import op10_toxicity as op10
 
 
@@ -23,6 +24,7 @@ def queries():
         "op6_quality_classifier": op6.op6_quality_classifier,
         "op7_decontamination": op7.op7_decontamination,
         "op8_language_id": op8.op8_language_id,
+        "op9_suffix_array": op9.op9_suffix_array,
         "op10_toxicity": op10.op10_toxicity,
     }
 
