@@ -1 +1 @@
-
+"""Operators over records and tables, composed of DataFrame operations."""

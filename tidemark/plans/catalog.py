@@ -1,10 +1,8 @@
-"""Queries over the driver's tables and their SQL twins."""
+"""All queries over the driver's tables, and their SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from tidemark.plans import scans, streams  # noqa: F401  they register their queries
+from tidemark.plans.base import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]

@@ -1 +1 @@
-
+"""State, sinks and Structured Streaming around the operators."""
