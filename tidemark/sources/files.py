@@ -47,7 +47,7 @@ def read_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
     A file is read by one task, which gives line numbers without a shuffle; files are small by rotation.
     """
-    whole = spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modified"), "value")
+    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modified"), "value")
     lines = whole.select("path", "modified", F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
     return lines.select("path", "modified", "line_no", F.trim("line").alias("line")).where("line <> ''")
 
