@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections.abc import Iterable, Iterator
 from itertools import repeat
 
@@ -218,6 +219,35 @@ def judged(hits: DataFrame) -> DataFrame:
     )
 
 
+def excised(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", span_words: int = WINDOW, coverage: float = 0.05, window: int = WINDOW) -> DataFrame:
+    """The id, `verdict` and `clean_text` of every document.
+
+    `drop` where at least `coverage` of the words are hit; `cut` where the hit spans of span_words words or more were
+    taken out, from the first byte of the first word to the last of the last; `keep`, with the text as it is, else.
+    """
+    hits = benchmark_hits(docs, items, id_column, text_column, keep=[id_column, text_column], window=window)
+    own = docs.select(F.struct(*[F.col(id_column)]).alias("own")).schema
+    schema = own.add("verdict", "string").add("clean_text", "string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            verdicts, texts = [], []
+            for raw, n, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                hit = sum(s["last"] - s["first"] + 1 for s in spans)
+                long = [s for s in spans if s["last"] - s["first"] + 1 >= span_words]
+                verdict = "drop" if hit and hit >= coverage * n else "cut" if long else "keep"
+                if verdict == "cut":
+                    places = [m.span() for m in re.finditer(rb"[^ ]+", raw.translate(TABLE))]
+                    edges = [0, *[x for s in long for x in (places[s["first"]][0], places[s["last"]][1])], len(raw)]
+                    raw = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                verdicts.append(verdict)
+                texts.append(None if raw is None else raw.decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(verdicts), pa.array(texts, pa.string())], names=["own", "verdict", "clean_text"])
+
+    told = hits.select(F.struct(F.col(id_column)).alias("own"), F.col(text_column).cast("binary").alias("text"), "n_words", "spans")
+    return common.arrow_map(told, run, schema).select("own.*", "verdict", "clean_text")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = benchmark_hits(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
     return judged(hits).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest")
