@@ -55,7 +55,8 @@ def catalog_record(catalog: DataFrame, most: int = MAX_RECORD) -> DataFrame:
     """The catalog as one JSON map; no row if it is over the limit. A catalog is as long as the schema, not the data."""
     field = F.struct("type", F.col("field").alias("name"), F.col("field").alias("original_name"), F.col("nullable").alias("null"), "primary_key")
     by_type = catalog.groupBy("datatype").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", field.alias("d"))))).alias("fields"))
-    whole = by_type.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("datatype", F.to_json("fields").alias("f"))))).alias("m"))
+    by_name = lambda a, b: F.when(a["datatype"] < b["datatype"], -1).otherwise(1)
+    whole = by_type.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("datatype", F.struct(F.col("datatype").alias("name"), "fields").alias("d"))), by_name)).alias("m"))
     return whole.select(F.to_json("m").alias("catalog")).where(F.octet_length("catalog") <= most)
 
 

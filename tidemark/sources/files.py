@@ -72,3 +72,21 @@ def validated_folder(path: str, root: str, reserved: Iterable[str] = ()) -> str:
     if any(os.path.commonpath([real, os.path.realpath(r)]) == os.path.realpath(r) for r in reserved):
         raise ValueError("the folder is reserved")
     return real
+
+
+def purge(folder: str, pattern: str = "events-*.jsonl*") -> int:
+    """Removes all buffer files of our own pattern; others stay."""
+    gone = safe_files([folder], [pattern])
+    for path in gone:
+        os.unlink(path)
+    return len(gone)
+
+
+def append(rows: DataFrame, path: str) -> None:
+    """Rows at the end of a log of Parquet files."""
+    rows.write.mode("append").parquet(path)
+
+
+def rotated(rows: DataFrame, path: str, most_records: int) -> None:
+    """JSON lines, appended, no file longer than a number of records."""
+    rows.select("line").write.mode("append").option("maxRecordsPerFile", most_records).text(path)
