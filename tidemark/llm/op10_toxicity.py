@@ -84,22 +84,27 @@ class Bags:
         self.words = np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.int64, len(words))
         plain, _ = ngrams.spaced_words([b" ".join(ids)])
         reach = ngrams.until_space(plain)
-        word_at = np.cumsum(plain == 32) - 1
-        owner, bucket = [], []
-        for n, b in ngrams.gram_buckets(plain, SIZES, BITS):
-            fits = reach[: len(b)] >= n - 1
-            owner.append(word_at[: len(b)][fits])
-            bucket.append(b[fits].astype(np.int64))
-        owner, bucket = np.concatenate(owner), np.concatenate(bucket)
+        word_at = (np.cumsum(plain == 32) - 1).astype(np.int32)
         doc_of = np.repeat(np.arange(len(counts)), counts)
         seen = np.unique(self.words * len(counts) + doc_of)  # (word, document), each once
         docs_of_word = np.bincount(seen // len(counts), minlength=len(ids))
-        pairs = np.unique(bucket * len(ids) + owner)
-        often = np.bincount(pairs // len(ids), weights=docs_of_word[pairs % len(ids)], minlength=1 << BITS) >= LEAST_DOCS
-        self.share = 1.0 / np.maximum(np.bincount(owner, minlength=len(ids)), 1)
-        known = often[bucket]
-        owner = owner[known]
-        used, self.bucket = np.unique(bucket[known], return_inverse=True)
+        del seen, doc_of
+        owner, bucket, often, grams = [], [], np.zeros(1 << BITS), np.zeros(len(ids), np.int64)
+        for n, b in ngrams.gram_buckets(plain, SIZES, BITS):
+            fits = reach[: len(b)] >= n - 1
+            owner.append(word_at[: len(b)][fits])
+            bucket.append(b[fits].astype(np.int32))
+            grams += np.bincount(owner[-1], minlength=len(ids))
+            pairs = np.unique((bucket[-1].astype(np.int64) << 32) | owner[-1])
+            often += np.bincount(pairs >> 32, weights=docs_of_word[pairs & 0xFFFFFFFF], minlength=1 << BITS)
+        known = [often[b] >= LEAST_DOCS for b in bucket]
+        owner = np.concatenate([o[k] for o, k in zip(owner, known, strict=True)])
+        bucket = np.concatenate([b[k] for b, k in zip(bucket, known, strict=True)])
+        self.share = 1.0 / np.maximum(grams, 1)
+        used = np.unique(bucket)
+        place = np.zeros(1 << BITS, np.int32)
+        place[used] = np.arange(len(used))
+        self.bucket = place[bucket]
         self.used, self.owner, self.n_words = used, owner, len(ids)
         windows, docs = [], []
         at = 0
@@ -204,7 +209,7 @@ def scored(docs: DataFrame, model: dict[str, Any], columns: list[str], score: st
 
 
 def fitted(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_bytes: int = SAMPLE_BYTES) -> dict[str, Any]:
-    return train(sampling.labelled_texts(docs, labels, "toxic", 3, 1, per_class, most_bytes))
+    return sampling.trained(sampling.labelled_sample(docs, labels, "toxic", 3, 1, per_class, most_bytes), train)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

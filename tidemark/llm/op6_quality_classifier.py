@@ -104,7 +104,7 @@ def scored(docs: DataFrame, model: dict[str, Any], columns: list[str]) -> DataFr
 
 
 def fitted(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_bytes: int = SAMPLE_BYTES) -> dict[str, Any]:
-    return train(sampling.labelled_texts(docs, labels, "quality", 4, 2, per_class, most_bytes))
+    return sampling.trained(sampling.labelled_sample(docs, labels, "quality", 4, 2, per_class, most_bytes), train)
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,10 +15,10 @@ from typing import Any
 
 import numpy as np
 import regex
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, ngrams
+from tidemark.llm import common, ngrams, sampling
 
 SAMPLE_ROWS = 4000
 SAMPLE_BYTES = 16 << 20
@@ -79,13 +79,12 @@ def predict(texts: list[bytes | None], model: dict[str, Any]) -> dict[str, list]
     }
 
 
-def sample_texts(docs: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> list[tuple[bytes, str]]:
-    """The first `rows` documents with a language in the order of a hash of the id, up to most_bytes of text."""
+def sample_texts(docs: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """(text, lang) of the first `rows` documents with a language in the order of a hash of the id, up to most_bytes of text."""
     order = (F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text"))
     usable = docs.select("doc_id", F.col("text").cast("binary").alias("text"), "lang").where(F.expr("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL"))
     first = usable.where(common.fold("doc_id", 4) != 2).orderBy(*order).limit(rows)
-    running = F.sum(F.octet_length("text")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return [(bytes(r.text), r.lang) for r in first.withColumn("upto", running).where(F.col("upto") <= most_bytes).select("text", "lang").collect()]
+    return sampling.within(first, order, most_bytes).select("text", "lang")
 
 
 def identified(docs: DataFrame, model: dict[str, Any], columns: list[str]) -> DataFrame:
@@ -99,5 +98,5 @@ def identified(docs: DataFrame, model: dict[str, Any], columns: list[str]) -> Da
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
-    out = identified(docs, train(sample_texts(docs)), ["doc_id"])
+    out = identified(docs, sampling.trained(sample_texts(docs), train), ["doc_id"])
     return out.select("doc_id", (common.fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")

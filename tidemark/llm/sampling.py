@@ -1,16 +1,19 @@
-"""A bounded, repeatable sample of labelled texts for training."""
+"""A bounded, repeatable sample of labelled texts, and training on it in one task."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import pickle
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, per_class: int, most_bytes: int, classes: Sequence[int] = (0, 1)) -> list[tuple[bytes, int]]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, per_class: int, most_bytes: int, classes: Sequence[int] = (0, 1)) -> DataFrame:
     """(text, label) of at most per_class labelled documents of each class and most_bytes of text in all.
 
     Rows whose fold is held out are never read as labels. The order is that of a hash of the id, so the sample is the
@@ -25,6 +28,23 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, modulus: int,
     ids = ids.groupBy("doc_id").agg(F.min("y").alias("y"))
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).where("text IS NOT NULL")
     found = texts.join(F.broadcast(ids), "doc_id")  # len(classes) * per_class ids at most
-    running = F.sum(F.octet_length("text")).over(Window.orderBy(*order, F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, 0))
-    rows = found.withColumn("upto", running).where(F.col("upto") <= most_bytes).select("doc_id", "text", "y").collect()
-    return [(bytes(r.text), r.y) for r in rows]
+    return within(found, (*order, F.xxhash64("text")), most_bytes).select("text", "y")
+
+
+def within(rows: DataFrame, order: Sequence, most_bytes: int) -> DataFrame:
+    """Rows of a bounded table, in one partition and in order, up to so many bytes of text."""
+    running = F.sum(F.octet_length("text")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("upto", running).where(F.col("upto") <= most_bytes)
+
+
+def trained(sample: DataFrame, train: Callable[[list[tuple[bytes, Any]]], Any]) -> Any:
+    """What train makes of the (text, label) rows of a bounded sample; it runs in one task, and the driver gets the model alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple[bytes, Any]] = []
+        for b in batches:
+            rows += zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(rows))], pa.binary())], names=["model"])
+
+    made = common.arrow_map(sample.coalesce(1), run, "model binary").collect()
+    return pickle.loads(made[0].model) if made else train([])
