@@ -7,10 +7,11 @@ the most significant digit is the anchor's hash, and all windows with one anchor
 through the first digit as one row:
 
 1. Every run's anchor is counted; anchors that occur once drop out, with all their suffixes.
-2. The runs left are dealt by anchor. Within an anchor, runs that are equal as a whole form a class; a class that
-   occurs at two places is repeated throughout, and one member stands for it.
+2. Runs left that are equal as a whole form a class; a task tells each of its classes once, with its bytes, and the
+   classes are dealt by anchor. A class that occurs at two places is repeated throughout.
 3. The windows of the classes are sorted by place of the anchor, then by one digit of DIGIT bytes after another;
-   groups of one drop out at each pass. What is left after the last digit is repeated.
+   groups of one drop out at each pass. What is left after the last digit is repeated, and goes back by a join to the
+   places of the class, however many they are.
 
 The first digit's survivors go to the second scan as a bitmap of fixed size: a false positive there costs a row, not
 the result. Anchors that occur more than HOT times aren't gathered anywhere: their windows are counted one by one, by
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,9 +48,9 @@ BITMAP_BITS = 25
 HOT_BITS = 20
 #: Bytes of a text that are looked at at a time.
 SEGMENT = 4 << 20
-#: Windows sorted at a time, and classes that a task of the second scan remembers to have sent.
+#: Windows sorted at a time, and classes that a task puts together before it tells them.
 BATCH_WINDOWS = 400_000
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 _MIX = np.random.default_rng(400).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -154,15 +156,18 @@ def _signed(values) -> pa.Array:
 
 def _first_scan(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for a, b in common.chunks(whole.column(0)):
-                batch = whole.slice(a, b - a)
-                hs, occ = [], []
-                for text, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    h, place, _, _ = runs(text, length)
-                    hs.append(h)
-                    occ.append((place.astype(np.uint64) * np.uint64(_BASE)) ^ np.uint64(k & _MASK))
-                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(hs)), _signed(np.concatenate(occ))], names=["h", "occ"])
+        hs, occ, n = [], [], 0
+        told = lambda: pa.RecordBatch.from_arrays([_signed(np.concatenate(hs)), _signed(np.concatenate(occ))], names=["h", "occ"])
+        for text, k in _texts(batches):
+            h, place, _, _ = runs(text, length)
+            hs.append(h)
+            occ.append(_places(place, k))
+            n += len(h)
+            if n >= 50_000:
+                yield told()
+                hs, occ, n = [], [], 0
+        if n:
+            yield told()
 
     return run
 
@@ -172,126 +177,157 @@ def _has(bitmap: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
     return ((bitmap[low >> 3] >> (low & 7).astype(np.uint8)) & 1).astype(bool)
 
 
-RUNS = "h long, ext long, k long, n int, first int, left int, last int, context binary"
+CLASSES = "h long, ext long, low long, high long, before int, context binary"
+PLACES = "h long, ext long, k long, n int, first int"
 WINDOWS = "w1 long, w2 long, k long, n int, first int"
 
 
-def _second_scan(maps, length: int, hot: bool):
-    """Runs whose anchor occurs twice; or, for hot anchors, their windows."""
+def _places(place: np.ndarray, k: int) -> np.ndarray:
+    """One number for each place of an anchor in a text."""
+    return (place.astype(np.uint64) * np.uint64(_BASE)) ^ np.uint64(k & _MASK)
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, int]]:
+    """The texts of a task with their hash; copies seen lately are passed over, as they have the same places."""
+    seen: set[tuple[int, int]] = set()
+    for whole in batches:
+        for a, b in common.chunks(whole.column(0)):
+            batch = whole.slice(a, b - a)
+            for text, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if (k, len(text)) not in seen:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen.add((k, len(text)))
+                    yield text, k
+
+
+def _wanted(maps, length: int, hot: bool, batches: Iterator[pa.RecordBatch]):
+    """(text, k, anchors, places, first and last windows) of the runs whose anchor occurs twice, and often or not."""
+    twice, often = maps.value
+    for text, k in _texts(batches):
+        h, place, first, last = runs(text, length)
+        if len(h):
+            wanted = _has(twice, h, BITMAP_BITS) & (_has(often, h, HOT_BITS) == hot)
+            if wanted.any():
+                yield text, k, h[wanted], place[wanted], first[wanted], last[wanted]
+
+
+def _key(text: bytes, place: int, first: int, last: int, length: int) -> tuple[bytes, int]:
+    context = text[first : last + length]
+    return context, xxhash.xxh64_intdigest(context, seed=place - first)
+
+
+def _class_scan(maps, length: int):
+    """The classes of a task, each once: its bytes, and the least and the greatest of its places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        twice, often = maps.value
-        sent: set[tuple[int, int]] = set()
-        for whole in batches:
-            for a, b in common.chunks(whole.column(0)):
-                batch = whole.slice(a, b - a)
-                rows = []
-                for text, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    h, place, first, last = runs(text, length)
-                    if not len(h):
-                        continue
-                    wanted = _has(twice, h, BITMAP_BITS) & (_has(often, h, HOT_BITS) == hot)
-                    if hot:
-                        if wanted.any():
-                            starts = np.concatenate([np.arange(x, y + 1) for x, y in zip(first[wanted], last[wanted], strict=True)])
-                            for s in starts.tolist():
-                                w = xxhash.xxh128_intdigest(text[s : s + length])
-                                rows.append((w & _MASK, w >> 64, k, len(text), s))
-                        continue
-                    for hv, p, x, y in zip(h[wanted].tolist(), place[wanted].tolist(), first[wanted].tolist(), last[wanted].tolist(), strict=True):
-                        context = text[x : y + length]
-                        ext = xxhash.xxh64_intdigest(context, seed=p - x)
-                        new = (hv, ext) not in sent
-                        if new:
-                            if len(sent) >= REMEMBERED:
-                                sent.clear()
-                            sent.add((hv, ext))
-                        rows.append((hv, ext, k, len(text), x, p - x, y, context if new else None))
-                if not rows:
-                    continue
-                cols = list(zip(*rows, strict=True))
-                if hot:
-                    arrays = [_signed(cols[0]), _signed(cols[1]), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.int32())]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["w1", "w2", "k", "n", "first"])
+        known: dict[tuple[int, int], list] = {}
+
+        def told() -> pa.RecordBatch:
+            rows = [(h, ext, *v) for (h, ext), v in known.items()]
+            cols = list(zip(*rows, strict=True))
+            known.clear()
+            return pa.RecordBatch.from_arrays([_signed(cols[0]), _signed(cols[1]), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int32()), pa.array(cols[5], pa.binary())], names=["h", "ext", "low", "high", "before", "context"])
+
+        for text, k, h, place, first, last in _wanted(maps, length, False, batches):
+            at = _places(place, k).view(np.int64).tolist()
+            for hv, p, x, y, o in zip(h.tolist(), place.tolist(), first.tolist(), last.tolist(), at, strict=True):
+                context, ext = _key(text, p, x, y, length)
+                if v := known.get((hv, ext)):
+                    v[0], v[1] = min(v[0], o), max(v[1], o)
                 else:
-                    arrays = [_signed(cols[0]), _signed(cols[1]), pa.array(cols[2], pa.int64()), *[pa.array(c, pa.int32()) for c in cols[3:7]], pa.array(cols[7], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["h", "ext", "k", "n", "first", "left", "last", "context"])
+                    known[(hv, ext)] = [o, o, p - x, context]
+            if len(known) >= REMEMBERED:
+                yield told()
+        if known:
+            yield told()
+
+    return run
+
+
+def _place_scan(maps, length: int):
+    """Every place of the classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+
+        def told() -> pa.RecordBatch:
+            cols = list(zip(*rows, strict=True))
+            rows.clear()
+            return pa.RecordBatch.from_arrays([_signed(cols[0]), _signed(cols[1]), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.int32())], names=["h", "ext", "k", "n", "first"])
+
+        for text, k, h, place, first, last in _wanted(maps, length, False, batches):
+            rows += [(hv, _key(text, p, x, y, length)[1], k, len(text), x) for hv, p, x, y in zip(h.tolist(), place.tolist(), first.tolist(), last.tolist(), strict=True)]
+            if len(rows) >= 50_000:
+                yield told()
+        if rows:
+            yield told()
 
     return run
 
 
-SPANS = "k long, n int, start int, stop int"
+def _window_scan(maps, length: int):
+    """Every window of hot anchors, by hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for text, k, _, _, first, last in _wanted(maps, length, True, batches):
+            starts = np.concatenate([np.arange(x, y + 1) for x, y in zip(first, last, strict=True)])
+            hashes = [xxhash.xxh128_intdigest(text[s : s + length]) for s in starts.tolist()]
+            n = len(starts)
+            yield pa.RecordBatch.from_arrays([_signed([w & _MASK for w in hashes]), _signed([w >> 64 for w in hashes]), pa.array([k] * n, pa.int64()), pa.array([len(text)] * n, pa.int32()), pa.array(starts, pa.int32())], names=["w1", "w2", "k", "n", "first"])
+
+    return run
+
+
+FOUND = "h long, ext long, covered array<struct<start:int,stop:int>>"
 
 
 def _resolve(length: int):
-    """Runs sorted by anchor, class and place become the spans of their repeated windows."""
+    """Classes sorted by anchor and bytes become the byte ranges, from a class's first, that its repeated windows cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []  # from the first row of the anchor that may go on
-        n_held = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             anchor = batch.column(0).to_numpy()
             cut = int(np.searchsorted(anchor, anchor[-1]))
-            if cut == 0 and (not held or held[-1].column(0)[-1].as_py() == int(anchor[-1])):
+            goes_on = bool(held) and held[-1].column(0)[-1].as_py() == int(anchor[-1])
+            if cut == 0 and (goes_on or not held):
                 held.append(batch)
-                n_held += batch.num_rows
-                continue
-            if cut == 0:
-                yield from solve(held)
-                held, n_held = [batch], batch.num_rows
                 continue
-            held.append(batch.slice(0, cut))
-            yield from solve(held)
-            held, n_held = [batch.slice(cut)], batch.num_rows - cut
+            if cut:
+                held.append(batch.slice(0, cut))
+            yield from solve(pa.Table.from_batches(held))
+            held = [batch.slice(cut)]
         if held:
-            yield from solve(held)
-
-    def solve(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held)
-        h, ext, k, n, first, left, last = (table.column(i).to_numpy() for i in range(7))
-        new_class = np.ones(len(h), bool)
-        new_class[1:] = (h[1:] != h[:-1]) | (ext[1:] != ext[:-1])
-        fresh = new_class.copy()  # not the same place of a copied text again
-        fresh[1:] |= (k[1:] != k[:-1]) | (n[1:] != n[:-1]) | (first[1:] != first[:-1])
-        keep = np.flatnonzero(fresh)
-        h, ext, k, n, first, left, last, new_class = (x[keep] for x in (h, ext, k, n, first, left, last, new_class))
-        opens = np.flatnonzero(new_class)
-        members = np.diff(opens, append=len(h))
-        anchor_no = np.cumsum(np.diff(h[opens], prepend=h[opens[0]] - 1) != 0) - 1
+            yield from solve(pa.Table.from_batches(held))
+
+    def solve(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        h, ext, low, high, before = (table.column(i).to_numpy() for i in range(5))
+        opens = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (ext[1:] != ext[:-1]))))
+        twice = np.minimum.reduceat(low, opens) != np.maximum.reduceat(high, opens)
+        anchor_no = np.cumsum(np.concatenate(([0], h[opens][1:] != h[opens][:-1])))
         rivals = np.bincount(anchor_no)[anchor_no]
-        # The context of a class stands in the first of its rows that has one.
-        context_rows = np.flatnonzero(table.column(7).is_valid().to_numpy())
-        class_of_row = np.cumsum(np.concatenate(([1], (np.diff(table.column(0).to_numpy()) != 0) | (np.diff(table.column(1).to_numpy()) != 0)))) - 1
-        where = np.full(len(opens), -1)
-        where[class_of_row[context_rows][::-1]] = context_rows[::-1]
-        out: list[tuple[int, int, int, int]] = []
-        whole = last[opens] - first[opens] + length
+        sizes = pa.compute.binary_length(table.column(5)).to_numpy()[opens]
+        covered: dict[int, list[tuple[int, int]]] = {c: [(0, int(sizes[c]))] for c in np.flatnonzero(twice).tolist()}
         todo = np.flatnonzero(rivals > 1)
-        bounds, at = [], 0
-        windows = np.cumsum(whole[todo] - length + 1)
+        upto = np.cumsum(sizes[todo] - length + 1)
+        at = 0
         while at < len(todo):  # whole anchors, about BATCH_WINDOWS at a time
-            most = (windows[at - 1] if at else 0) + BATCH_WINDOWS
-            end = max(int(np.searchsorted(windows, most)), at + 1)
+            end = max(int(np.searchsorted(upto, (upto[at - 1] if at else 0) + BATCH_WINDOWS)), at + 1)
             while end < len(todo) and anchor_no[todo[end]] == anchor_no[todo[end - 1]]:
                 end += 1
-            bounds.append((at, end))
+            part = todo[at:end]
+            contexts = table.column(5).take(pa.array(opens[part])).to_pylist()
+            for c, hit in zip(part.tolist(), repeated_windows(anchor_no[part], before[opens[part]], contexts, length), strict=True):
+                if c not in covered and hit.any():
+                    covered[c] = spans_of(hit, length)
             at = end
-        spans: dict[int, list[tuple[int, int]]] = {c: [(0, int(whole[c]))] for c in np.flatnonzero(members > 1).tolist()}
-        for a, b in bounds:
-            part = todo[a:b]
-            contexts = table.column(7).take(pa.array(where[part])).to_pylist()
-            for c, hit in zip(part.tolist(), repeated_windows(anchor_no[part], left[opens[part]], contexts, length), strict=True):
-                if c not in spans and hit.any():
-                    spans[c] = spans_of(hit, length)
-        for c, found in spans.items():
-            for r in range(opens[c], opens[c] + members[c]):
-                x = int(first[r])
-                out += [(int(k[r]), int(n[r]), x + s, x + e) for s, e in found]
-        for i in range(0, len(out), 100_000):
-            cols = list(zip(*out[i : i + 100_000], strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *[pa.array(c, pa.int32()) for c in cols[1:]]], names=["k", "n", "start", "stop"])
+        if covered:
+            rows = opens[list(covered)]
+            lists = pa.array([[{"start": a, "stop": b} for a, b in v] for v in covered.values()], pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))
+            yield pa.RecordBatch.from_arrays([pa.array(h[rows]), pa.array(ext[rows]), lists], names=["h", "ext", "covered"])
 
     return run
 
@@ -315,10 +351,13 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> Da
     twice = seen.groupBy("h").agg(F.min("occ").alias("a"), F.max("occ").alias("b"), F.count(F.lit(1)).alias("c")).where("a <> b").select("h", "c")
     twice = common.checkpointed(twice)
     maps = spark.sparkContext.broadcast((_bitmap(twice, BITMAP_BITS), _bitmap(twice.where(F.col("c") > hot), HOT_BITS)))
-    met = common.arrow_map(long, _second_scan(maps, length, False), RUNS)
-    spans = common.arrow_map(met.repartition("h").sortWithinPartitions("h", "ext", "k", "n", "first"), _resolve(length), SPANS)
+    classes = common.arrow_map(long, _class_scan(maps, length), CLASSES)
+    found = common.arrow_map(classes.repartition("h").sortWithinPartitions("h", "ext"), _resolve(length), FOUND)
+    places = common.arrow_map(long, _place_scan(maps, length), PLACES)
+    each = places.join(found, ["h", "ext"]).select("k", "n", "first", F.explode("covered").alias("c"))
+    spans = each.select("k", "n", (F.col("first") + F.col("c.start")).alias("start"), (F.col("first") + F.col("c.stop")).alias("stop"))
     if maps.value[1].any():
-        windows = common.arrow_map(long, _second_scan(maps, length, True), WINDOWS)
+        windows = common.arrow_map(long, _window_scan(maps, length), WINDOWS)
         place = F.xxhash64("k", "n", "first")
         again = windows.groupBy("w1", "w2").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("w1", "w2")
         spans = spans.unionByName(windows.join(again, ["w1", "w2"]).select("k", "n", F.col("first").alias("start"), (F.col("first") + length).alias("stop")))
@@ -331,7 +370,7 @@ def with_spans(docs: DataFrame, columns: list[str], text_column: str = "text", l
     raw = F.coalesce(F.col(text_column).cast("binary"), F.lit(b""))
     texts = docs.select(F.struct(*columns).alias("own"), raw.alias("text")).withColumn("k", F.xxhash64("text")).withColumn("n", F.octet_length("text"))
     found = repeated_spans(texts.select("text", "k", "n"), length, hot)
-    by_text = found.groupBy("k", "n").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    by_text = found.groupBy("k", "n").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     return texts.join(by_text.hint("shuffle_hash"), ["k", "n"], "left").select("own", "text", "spans")
 
 
