@@ -97,3 +97,12 @@ def test_odd_rows_and_stage(spark):
     assert out[0].asDict().keys() == set(docs.columns)
     assert sorted((r.doc_id or 0, r.text or "", r.n_chars or 0, r.text is None) for r in out) == [(0, "bc", 2, False), (1, "", 7, True), (2, "", 0, False), (3, "", 0, False), (3, "", 0, False)]
     assert op9.stage(spark, docs.where("false"), "").count() == 0
+
+
+def test_query_against_sql(spark, sf_dir):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    want = sorted(con.execute(f"SELECT doc_id, n_bytes, n_removed, n_spans, kept_sha256 FROM ({op9.ORACLE_SQL})").fetchall())
+    assert sorted(map(tuple, op9.op9_suffix_array(spark, sf_dir).collect())) == want

@@ -261,3 +261,7 @@ def test_spans_are_cut(spark):
     assert out[0] == ("cut", long + " ! end") and out[1] == ("drop", item) and out[2] == ("keep", long) and out[3] == ("keep", None)
     assert op7.benchmark_hits(docs(spark, [item]), items.where("false")).first().n_words == 20
     assert op7.benchmark_hits(docs(spark, [item]).where("false"), items).count() == 0
+
+
+def test_decontamination_against_sql(spark, sf_dir):
+    against_sql(spark, sf_dir, op7.op7_decontamination, op7.ORACLE_SQL)

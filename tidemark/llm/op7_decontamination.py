@@ -250,7 +250,24 @@ def excised(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_c
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = benchmark_hits(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
-    return judged(hits).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest")
+    return judged(hits).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+_WORDS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS_SQL}, []) AS ws FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS_SQL} AS ws FROM benchmark WHERE text IS NOT NULL),
+bs AS (SELECT item, ws, least({WINDOW}, len(ws)) AS k, unnest(range(1, len(ws) - least({WINDOW}, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0),
+bw AS (SELECT DISTINCT item, k, array_to_string(ws[i:i + k - 1], ' ') AS w FROM bs),
+ds AS (SELECT r, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw) WHERE len(ws) >= k),
+hits AS (SELECT r, i, k, item FROM (SELECT r, i, k, array_to_string(ws[i:i + k - 1], ' ') AS w FROM ds) JOIN bw USING (k, w)),
+cov AS (SELECT r, count(DISTINCT i + j) AS n FROM (SELECT DISTINCT r, i, unnest(range(k)) AS j FROM hits) GROUP BY r),
+its AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(cov.n, 0)::BIGINT AS n_hit, coalesce(its.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(cov.n, 0) > 0 AND 20 * coalesce(cov.n, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN cov USING (r) LEFT JOIN its USING (r)
+"""
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -427,6 +427,24 @@ def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("own.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+#: All windows one by one: for small inputs.
+ORACLE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS t FROM documents),
+s AS (SELECT r, t, unnest(range(0, octet_length(t) - {LENGTH} + 1)) AS i FROM d WHERE octet_length(t) >= {LENGTH}),
+w AS (SELECT r, i, md5_number(t[i + 1:i + {LENGTH}]) AS w FROM s),
+many AS (SELECT w FROM w GROUP BY w HAVING count(*) > 1),
+hit AS (SELECT r, i FROM w WHERE w IN (SELECT w FROM many)),
+edge AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + {LENGTH} THEN 0 ELSE 1 END AS opens FROM hit),
+run AS (SELECT r, i, sum(opens) OVER (PARTITION BY r ORDER BY i) AS g FROM edge),
+span AS (SELECT r, min(i) AS a, max(i) + {LENGTH} AS b FROM run GROUP BY r, g),
+nxt AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM span),
+kept AS (SELECT r, sum(b - a) AS gone, count(*) AS n, max(b) AS e, string_agg(CASE WHEN a > before THEN hex(t[before + 1:a]) ELSE '' END, '' ORDER BY a) AS head FROM nxt JOIN d USING (r) GROUP BY r)
+SELECT doc_id, octet_length(t)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(head, '') || CASE WHEN octet_length(t) > coalesce(e, 0) THEN hex(t[coalesce(e, 0) + 1:octet_length(t)]) ELSE '' END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages go from the texts; a character of which only part is left goes too. n_chars follows."""
     held = docs.withColumn("tidemark_null", F.col("text").isNull())

@@ -30,4 +30,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op1_quality_rules": op1.ORACLE_SQL, "op2_chat_format": op2.ORACLE_SQL}
+    return {"op1_quality_rules": op1.ORACLE_SQL, "op2_chat_format": op2.ORACLE_SQL, "op7_decontamination": op7.ORACLE_SQL, "op9_suffix_array": op9.ORACLE_SQL}
