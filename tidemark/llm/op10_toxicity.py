@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common, ngrams, sampling
 
-PER_CLASS = 1500
-SAMPLE_BYTES = 12 << 20
+PER_CLASS = 1200
+SAMPLE_BYTES = 8 << 20
 #: A bucket is learnt only if so many documents of the sample have it: rarer ones would just name their document.
 LEAST_DOCS = 6
 BITS = 18
@@ -79,25 +79,32 @@ class Bags:
     """Training windows as word ids, and the buckets of every distinct word."""
 
     def __init__(self, texts: list[bytes]):
-        data, counts = ngrams.spaced_words(texts)
-        words = data.tobytes().split()
         ids: dict[bytes, int] = {}
-        self.words = np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.int64, len(words))
-        plain, _ = ngrams.spaced_words([b" ".join(ids)])
-        reach = ngrams.until_space(plain)
-        word_at = (np.cumsum(plain == 32) - 1).astype(np.int32)
-        doc_of = np.repeat(np.arange(len(counts)), counts)
-        seen = np.unique(self.words * len(counts) + doc_of)  # (word, document), each once
-        docs_of_word = np.bincount(seen // len(counts), minlength=len(ids))
-        del seen, doc_of
+        parts, counts = [], []
+        for i in range(0, len(texts), 100):  # few words at a time as objects
+            data, n = ngrams.spaced_words(texts[i : i + 100])
+            words = data.tobytes().split()
+            parts.append(np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.int32, len(words)))
+            counts.append(n)
+        self.words, counts = np.concatenate(parts), np.concatenate(counts)
+        seen = np.unique(self.words.astype(np.int64) * len(counts) + np.repeat(np.arange(len(counts)), counts))
+        docs_of_word = np.bincount(seen // len(counts), minlength=len(ids))  # each word and document once
+        del seen
         owner, bucket, often, grams = [], [], np.zeros(1 << BITS), np.zeros(len(ids), np.int64)
-        for n, b in ngrams.gram_buckets(plain, SIZES, BITS):
-            fits = reach[: len(b)] >= n - 1
-            owner.append(word_at[: len(b)][fits])
-            bucket.append(b[fits].astype(np.int32))
-            grams += np.bincount(owner[-1], minlength=len(ids))
-            pairs = np.unique((bucket[-1].astype(np.int64) << 32) | owner[-1])
-            often += np.bincount(pairs >> 32, weights=docs_of_word[pairs & 0xFFFFFFFF], minlength=1 << BITS)
+        spelled, first = list(ids), 0
+        ids.clear()
+        while first < len(spelled):
+            plain = np.frombuffer(b" " + b" ".join(spelled[first : first + 20_000]) + b" ", np.uint8)
+            reach = ngrams.until_space(plain)
+            word_at = (np.cumsum(plain == 32) - 1 + first).astype(np.int32)
+            for n, b in ngrams.gram_buckets(plain, SIZES, BITS):
+                fits = reach[: len(b)] >= n - 1
+                owner.append(word_at[: len(b)][fits])
+                bucket.append(b[fits].astype(np.int32))
+                grams += np.bincount(owner[-1], minlength=len(grams))
+                pairs = np.unique((bucket[-1].astype(np.int64) << 32) | owner[-1])
+                often += np.bincount(pairs >> 32, weights=docs_of_word[pairs & 0xFFFFFFFF], minlength=1 << BITS)
+            first += 20_000
         known = [often[b] >= LEAST_DOCS for b in bucket]
         owner = np.concatenate([o[k] for o, k in zip(owner, known, strict=True)])
         bucket = np.concatenate([b[k] for b, k in zip(bucket, known, strict=True)])
@@ -106,7 +113,7 @@ class Bags:
         place = np.zeros(1 << BITS, np.int32)
         place[used] = np.arange(len(used))
         self.bucket = place[bucket]
-        self.used, self.owner, self.n_words = used, owner, len(ids)
+        self.used, self.owner, self.n_words = used, owner, len(spelled)
         windows, docs = [], []
         at = 0
         for d, n in enumerate(counts.tolist()):

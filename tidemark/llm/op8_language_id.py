@@ -80,11 +80,10 @@ def predict(texts: list[bytes | None], model: dict[str, Any]) -> dict[str, list]
 
 
 def sample_texts(docs: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
-    """(text, lang) of the first `rows` documents with a language in the order of a hash of the id, up to most_bytes of text."""
-    order = (F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text"))
-    usable = docs.select("doc_id", F.col("text").cast("binary").alias("text"), "lang").where(F.expr("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL"))
-    first = usable.where(common.fold("doc_id", 4) != 2).orderBy(*order).limit(rows)
-    return sampling.within(first, order, most_bytes).select("text", "lang")
+    """(text, y) of the first `rows` documents with a language in the order of a hash of the id, up to most_bytes; y: the language."""
+    usable = docs.select("doc_id", "text", F.col("lang").alias("y")).where("doc_id IS NOT NULL AND lang IS NOT NULL")
+    ids = sampling.first_by_hash(usable.select("doc_id").where(common.fold("doc_id", 4) != 2), rows).distinct()
+    return sampling.texts_of(usable, ids, most_bytes)
 
 
 def identified(docs: DataFrame, model: dict[str, Any], columns: list[str]) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import pickle
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
@@ -20,15 +23,34 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     same in every run and at every number of partitions. Null ids, labels and texts aren't learnt from.
     """
     open_rows = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("y")).where(F.col("doc_id").isNotNull() & (common.fold("doc_id", modulus) != held_out))
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    chosen = [open_rows.where(F.col("y") == v).orderBy(*order).limit(per_class) for v in classes]
-    ids = chosen[0]
-    for more in chosen[1:]:
-        ids = ids.unionByName(more)
+    ids = None
+    for v in classes:
+        part = first_by_hash(open_rows.where(F.col("y") == v), per_class)
+        ids = part if ids is None else ids.unionByName(part)
     ids = ids.groupBy("doc_id").agg(F.min("y").alias("y"))
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).where("text IS NOT NULL")
-    found = texts.join(F.broadcast(ids), "doc_id")  # len(classes) * per_class ids at most
-    return within(found, (*order, F.xxhash64("text")), most_bytes).select("text", "y")
+    return texts_of(docs.select("doc_id", "text"), ids, most_bytes)
+
+
+def first_by_hash(rows: DataFrame, n: int) -> DataFrame:
+    """The first n rows in the order of a hash of doc_id.
+
+    Rows whose hash lies in the lowest part, of 4 n rows or so, are all that is ordered; whole if they are fewer than n.
+    """
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    total = rows.count()
+    if total > 8 * n:
+        low = rows.where(F.xxhash64("doc_id") < F.lit(-(1 << 63) + (1 << 64) * 4 * n // total))
+        if low.count() >= n:
+            rows = low
+    return rows.orderBy(*order).limit(n)
+
+
+def texts_of(docs: DataFrame, ids: DataFrame, most_bytes: int) -> DataFrame:
+    """(text, y) of a bounded table of ids with y, or of rows that have y themselves; one text an id, up to most_bytes in all."""
+    own = "y" in docs.columns
+    rows = docs.withColumn("text", F.col("text").cast("binary")).where("text IS NOT NULL").join(F.broadcast(ids), "doc_id")
+    one = rows.groupBy("doc_id").agg(F.min(F.struct("text", "y")).alias("t")).select("doc_id", "t.text", "t.y") if own else rows.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    return within(one, (F.xxhash64("doc_id"), F.col("doc_id")), most_bytes).select("text", "y")
 
 
 def within(rows: DataFrame, order: Sequence, most_bytes: int) -> DataFrame:
@@ -37,6 +59,13 @@ def within(rows: DataFrame, order: Sequence, most_bytes: int) -> DataFrame:
     return rows.withColumn("upto", running).where(F.col("upto") <= most_bytes)
 
 
+def release() -> None:
+    """Gives freed memory back to the system, where its allocator can: the worker goes on to other tasks."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def trained(sample: DataFrame, train: Callable[[list[tuple[bytes, Any]]], Any]) -> Any:
     """What train makes of the (text, label) rows of a bounded sample; it runs in one task, and the driver gets the model alone."""
 
@@ -44,7 +73,10 @@ def trained(sample: DataFrame, train: Callable[[list[tuple[bytes, Any]]], Any])
         rows: list[tuple[bytes, Any]] = []
         for b in batches:
             rows += zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(rows))], pa.binary())], names=["model"])
+        model = pickle.dumps(train(rows))
+        rows.clear()
+        release()
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
     made = common.arrow_map(sample.coalesce(1), run, "model binary").collect()
     return pickle.loads(made[0].model) if made else train([])
