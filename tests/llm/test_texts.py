@@ -176,6 +176,14 @@ def test_offsets_cover_the_text(tool):
         assert at == len(raw)
 
 
+def test_encoder_gives_ids_and_offsets_together(tool):
+    for t in odd_texts():
+        ids, starts, ends = tool.encode(t)
+        assert ids == tool.ids(t) and list(zip(starts.tolist(), ends.tolist(), strict=True)) == tool.spans(t, ids)
+        normal, a, b = tool.aligned(t)
+        assert (normal, list(zip(a.tolist(), b.tolist(), strict=True))) == tool.normalised(t)
+
+
 def test_character_map():
     """A double-array trie made by hand: "a" becomes "xy", "ab" becomes "z"."""
     import struct
@@ -209,6 +217,14 @@ def test_sentencepiece_query(spark, sf_dir, tool):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(" ".join(map(str, ids))), sha(tool.library.decode(ids)))
 
 
+def test_encoding_stage_returns_offsets(spark, sf_dir, tool):
+    texts = [None, "", "a é", "  two  spaces 日本語 "]
+    out = {r.doc_id: r for r in op5.stage(spark, docs(spark, texts), sf_dir).collect()}
+    for i, t in enumerate(texts):
+        assert list(zip(out[i].starts, out[i].ends, strict=True)) == tool.spans(t or "", list(out[i].ids))
+        assert out[i].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
+
+
 def test_sentencepiece_odd_rows(spark):
     out = {r.doc_id: r for r in op5.encoded(docs(spark, [None, "", "a é"])).collect()}
     assert list(out[0].ids) == [2] == list(out[1].ids) and out[2].starts[0] == 0 and out[2].ends[-2] == 4

@@ -20,7 +20,6 @@ from typing import Any
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import common
 
@@ -111,6 +110,15 @@ class Encoder:
         self.known: dict[str, tuple[int, ...]] = {}
         self.end = self.library.eos_id()
         self.opens = np.array([p.startswith(SPACE) for p in pieces])
+        #: Bytes of the normalised text that each id stands for; -1: as many as the next character has.
+        self.width = np.array([self._width(i, p) for i, p in enumerate(pieces)], np.int64)
+
+    def _width(self, i: int, piece: str) -> int:
+        if self.library.is_control(i):
+            return 0
+        if self.library.is_byte(i):
+            return 1
+        return -1 if self.library.is_unknown(i) else len(piece.encode())
 
     def normalised(self, text: str) -> tuple[str, list[tuple[int, int]]]:
         """The text as the vocabulary sees it, and for each of its bytes the original byte span it stands for."""
@@ -148,15 +156,54 @@ class Encoder:
                 del out[-len(tail) :], spans[-len(tail) :]
         return out.decode(), spans
 
+    def aligned(self, text: str) -> tuple[str, np.ndarray, np.ndarray]:
+        """normalised() with the starts and the ends of the spans as arrays; by whole arrays where the map has no key."""
+        if self.map.units or self.squeeze:
+            normal, spans = self.normalised(text)
+            both = np.array(spans, np.int64).reshape(-1, 2)
+            return normal, both[:, 0], both[:, 1]
+        raw = np.frombuffer(text.encode(), np.uint8)
+        lead = (raw & 0xC0) != 0x80
+        edges = np.append(np.flatnonzero(lead), len(raw))
+        char = np.cumsum(lead) - 1
+        space, wide = (SPACE, 3) if self.escape else (" ", 1)
+        if wide > 1:
+            char = np.repeat(char, np.where(raw == 32, wide, 1))
+        starts, ends = edges[char], edges[char + 1]
+        normal = text.replace(" ", space)
+        if self.dummy and text:
+            front = np.zeros(wide, np.int64)
+            normal, starts, ends = space + normal, np.concatenate((front, starts)), np.concatenate((front, ends))
+        return normal, starts, ends
+
+    def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """The ids, the end id last, and the starts and ends of their original byte spans."""
+        normal, starts, ends = self.aligned(text)
+        ids = self._ids(text, normal)
+        width = self.width[ids]
+        if (width < 0).any():
+            both = np.array(self.spans(text, ids), np.int64)
+            return ids, both[:, 0], both[:, 1]
+        if not len(ends):
+            none = np.zeros(len(ids), np.int64)
+            return ids, none, none
+        upto = np.cumsum(width)
+        first, last = upto - width, len(ends) - 1
+        inside = (width > 0) & (first <= last)
+        return ids, np.where(inside, starts[np.minimum(first, last)], ends[-1]), np.where(inside, ends[np.minimum(upto - 1, last)], ends[-1])
+
     def plain(self, text: str) -> str:
         """normalised() without the alignment, for a map that changes nothing."""
         return SPACE + text.replace(" ", SPACE) if text else ""
 
     def ids(self, text: str) -> list[int]:
         """The ids, the end id last."""
+        return self._ids(text, self.plain(text))
+
+    def _ids(self, text: str, normal: str) -> list[int]:
         if not self.cuts:
             return [*self.library.encode(text, num_threads=1), self.end]
-        parts = self.segment.findall(self.plain(text))
+        parts = self.segment.findall(normal)
         known = self.known
         if new := set(parts).difference(known):
             if len(known) + len(new) > REMEMBERED:
@@ -224,6 +271,10 @@ DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 ENCODED = "ids array<int>, starts array<int>, ends array<int>"
 
 
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def encoded(docs: DataFrame, path: str | None = None, id_column: str = "doc_id", text_column: str = "text", offsets: bool = True) -> DataFrame:
     """The ids of every text and, unless offsets is false, the original byte span of each."""
     path = path or default_model()
@@ -232,23 +283,16 @@ def encoded(docs: DataFrame, path: str | None = None, id_column: str = "doc_id",
         tool = encoder(path)
 
         def work(texts: list[bytes | None]) -> dict[str, list[Any]]:
-            out: dict[str, list[Any]] = {"ids": [], "starts": [], "ends": []}
-            for raw in texts:
-                text = (raw or b"").decode("utf-8", "replace")
-                ids = tool.ids(text)
-                spans = tool.spans(text, ids) if offsets else []
-                out["ids"].append(ids)
-                out["starts"].append([a for a, _ in spans])
-                out["ends"].append([b for _, b in spans])
-            return out
+            made = [tool.encode((raw or b"").decode("utf-8", "replace")) for raw in texts]
+            return {"ids": [ids for ids, _, _ in made], "starts": [a if offsets else [] for _, a, _ in made], "ends": [b if offsets else [] for _, _, b in made]}
 
         return work
 
     return common.map_texts(docs, [id_column], text_column, ENCODED, make)
 
 
-def round_trip_digests(docs: DataFrame, path: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Number and digest of the ids of every text, and the digest of what they decode to."""
+def round_trip_digests(docs: DataFrame, path: str | None = None, id_column: str = "doc_id", text_column: str = "text", tokens: bool = False) -> DataFrame:
+    """Number and digest of the ids of every text, and the digest of what they decode to; with tokens, the ids and their original byte spans too."""
     path = path or default_model()
 
     def make():
@@ -256,17 +300,17 @@ def round_trip_digests(docs: DataFrame, path: str | None = None, id_column: str
         name = [str(i) for i in range(tool.library.get_piece_size())].__getitem__
 
         def work(texts: list[bytes | None]) -> dict[str, list[Any]]:
-            all_ids = [tool.ids((raw or b"").decode("utf-8", "replace")) for raw in texts]
-            sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+            made = [tool.encode((raw or b"").decode("utf-8", "replace")) for raw in texts]
             return {
-                "n_tokens": [len(ids) for ids in all_ids],
-                "ids_sha256": [sha(" ".join(map(name, ids))) for ids in all_ids],
-                "decoded_sha256": [sha(tool.library.decode(ids)) for ids in all_ids],
+                "n_tokens": [len(ids) for ids, _, _ in made],
+                "ids_sha256": [_sha256(" ".join(map(name, ids))) for ids, _, _ in made],
+                "decoded_sha256": [_sha256(tool.library.decode(ids)) for ids, _, _ in made],
+                **({"ids": [ids for ids, _, _ in made], "starts": [a for _, a, _ in made], "ends": [b for _, _, b in made]} if tokens else {}),
             }
 
         return work
 
-    return common.map_texts(docs, [id_column], text_column, DIGESTS, make)
+    return common.map_texts(docs, [id_column], text_column, f"{DIGESTS}, {ENCODED}" if tokens else DIGESTS, make)
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,17 +318,5 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of every document, and the contract's digests."""
-    path = default_model()
-
-    def make():
-        tool = encoder(path)
-
-        def work(texts):
-            all_ids = [tool.ids((raw or b"").decode("utf-8", "replace")) for raw in texts]
-            return {"ids": all_ids, "n_tokens": [len(x) for x in all_ids], "decoded_sha256": [hashlib.sha256(tool.library.decode(x).encode()).hexdigest() for x in all_ids]}
-
-        return work
-
-    out = common.map_texts(docs, ["doc_id"], "text", "ids array<int>, n_tokens long, decoded_sha256 string", make)
-    return out.select("doc_id", "n_tokens", "ids", F.sha2(F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").cast("binary"), 256).alias("ids_sha256"), "decoded_sha256")
+    """The ids of every document with their original byte spans, and the contract's digests."""
+    return round_trip_digests(docs, tokens=True).select("doc_id", "n_tokens", "ids", "starts", "ends", "ids_sha256", "decoded_sha256")
