@@ -122,6 +122,20 @@ def test_sample_is_bounded_and_held_out_rows_are_not_read(spark):
     assert 0 < len(read(docs, labels, "toxic", 3, 1, 20, 80)) < 40
 
 
+def test_one_long_text_does_not_end_the_sample(spark):
+    assert sampling.fitting([(0, 900), (1, 10), (0, 20), (1, 30)], 100) == [None, 10, 20, 30]
+    assert sampling.fitting([(0, 60), (0, 60), (1, 10)], 100) == [60, None, 10]  # what class 1 leaves goes to class 0
+    assert sampling.fitting([(0, 500), (0, 400), (1, 10)], 100) == [None, 90, 10]
+    assert sampling.fitting([], 100) == []
+    first = spark.range(60).where(F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(3)) != 1).orderBy(F.xxhash64("id")).first().id
+    text = F.when(F.col("id") == first, F.repeat(F.lit("long "), 1000)).otherwise(F.lit("short"))
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), text.alias("text"))
+    labels = spark.range(60).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    got = sampling.labelled_sample(docs, labels, "toxic", 3, 1, 50, 1000).collect()
+    assert len(got) == sum(fold(i, 3) != 1 for i in range(60)) - 1 and {r.y for r in got} == {0, 1}
+    assert {bytes(r.text) for r in got} == {b"short"}
+
+
 def test_models_on_odd_tables(spark, tmp_path):
     rows = [(1, None, None, "s", 0), (2, "", "en", "s", 0), (3, "123 ...", "en", "s", 7), (3, "123 ...", "en", "s", 7), (None, "word " * 30_000, "fr", None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("score", F.lit("mine")).withColumn("own", F.lit(1))

@@ -10,14 +10,14 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, per_class: int, most_bytes: int, classes: Sequence[int] = (0, 1)) -> DataFrame:
-    """(text, label) of at most per_class labelled documents of each class and most_bytes of text in all.
+    """(text, label) of at most per_class labelled documents of each class and most_bytes of text in all, as fitting() says.
 
     Rows whose fold is held out are never read as labels. The order is that of a hash of the id, so the sample is the
     same in every run and at every number of partitions. Null ids, labels and texts aren't learnt from.
@@ -50,13 +50,48 @@ def texts_of(docs: DataFrame, ids: DataFrame, most_bytes: int) -> DataFrame:
     own = "y" in docs.columns
     rows = docs.withColumn("text", F.col("text").cast("binary")).where("text IS NOT NULL").join(F.broadcast(ids), "doc_id")
     one = rows.groupBy("doc_id").agg(F.min(F.struct("text", "y")).alias("t")).select("doc_id", "t.text", "t.y") if own else rows.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
-    return within(one, (F.xxhash64("doc_id"), F.col("doc_id")), most_bytes).select("text", "y")
+    return within(one, most_bytes)
 
 
-def within(rows: DataFrame, order: Sequence, most_bytes: int) -> DataFrame:
-    """Rows of a bounded table, in one partition and in order, up to so many bytes of text."""
-    running = F.sum(F.octet_length("text")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("upto", running).where(F.col("upto") <= most_bytes)
+def within(rows: DataFrame, most_bytes: int) -> DataFrame:
+    """(text, y) of a bounded table with doc_id, in one partition and in the order of a hash of the id: the texts that fitting() takes."""
+    held = common.checkpointed(rows.select("doc_id", "y", F.octet_length("text").cast("long").alias("n"), F.substring("text", 1, most_bytes).alias("text")))
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    sizes = held.select("doc_id", "y", "n").orderBy(*order).collect()  # ids and numbers of a bounded sample, no texts
+    taken = fitting([(r.y, r.n) for r in sizes], most_bytes)
+    schema = held.select(F.col("doc_id"), F.col("n").alias("upto")).schema
+    chosen = rows.sparkSession.createDataFrame([(r.doc_id, n) for r, n in zip(sizes, taken, strict=True) if n is not None], schema)
+    kept = held.join(F.broadcast(chosen), "doc_id").repartition(1).sortWithinPartitions(*order)
+    return kept.select(F.expr("substring(text, 1, CAST(upto AS INT))").alias("text"), "y")
+
+
+def fitting(sizes: Sequence[tuple[Any, int]], most_bytes: int) -> list[int | None]:
+    """The bytes to take of each text, given (class, bytes) in order; None for a text that isn't taken.
+
+    Classes share the bytes evenly, and what one doesn't need goes to the others. A text larger than what is left to its
+    class is passed over alone; those after it that fit are taken. Of a class none of whose texts fits, the beginning of
+    the shortest is taken.
+    """
+    totals: dict[Any, int] = {}
+    for y, n in sizes:
+        totals[y] = totals.get(y, 0) + n
+    left, rest = {}, most_bytes
+    for i, y in enumerate(sorted(totals, key=lambda y: (totals[y], str(y)))):
+        left[y] = min(totals[y], rest // (len(totals) - i))
+        rest -= left[y]
+    least: dict[Any, int] = {}
+    for at, (y, n) in enumerate(sizes):
+        if y not in least or n < sizes[least[y]][1]:
+            least[y] = at
+    out: list[int | None] = [None] * len(sizes)
+    for y, at in least.items():
+        if sizes[at][1] > left[y]:
+            out[at], left[y] = left[y], 0
+    for at, (y, n) in enumerate(sizes):
+        if out[at] is None and n <= left[y]:
+            out[at] = n
+            left[y] -= n
+    return out
 
 
 def release() -> None:
