@@ -100,3 +100,40 @@ def test_simhash_odd_rows(spark):
 def test_components_of_a_long_chain(spark):
     pairs = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {(r.node, r.component) for r in op4.components(pairs).collect()} == {(i, 0) for i in range(1, 201)}
+
+
+def slow_near(texts, similarity=0.8):
+    """Indices that go, in order, by all pairs of sets of runs of five words."""
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := t.lower().split()) else set() for t in texts]
+    kept, gone = [], set()
+    for i, s in enumerate(sets):
+        if s and any(len(s & sets[k]) >= similarity * len(s | sets[k]) for k in kept):
+            gone.add(i)
+        elif s:
+            kept.append(i)
+    return gone
+
+
+def test_stage_removes_near_copies(spark):
+    rng = random.Random(8)
+    texts = []
+    for _ in range(30):
+        base = [rng.choice(["sea", "tide", "moon", "salt", "rope", "gull", "mast", "oar"]) + str(rng.randint(0, 300)) for _ in range(200)]
+        texts.append(" ".join(base))
+        for changes in (1, 2, 3, 12):  # similarities of about 0.95, 0.90, 0.86 and 0.54
+            other = list(base)
+            for at in rng.sample(range(200), changes):
+                other[at] = "new" + str(rng.randint(0, 10**6))
+            texts.append(" ".join(other))
+    texts += ["", "one two", "one two three four five"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    kept = {r.doc_id for r in op4.stage(spark, docs, "").collect()}
+    assert set(range(len(texts))) - kept == slow_near(texts) and len(kept) == 63
+
+
+def test_near_of_kept_as_all_pairs():
+    rng = random.Random(9)
+    for _ in range(50):
+        base = [str(rng.randint(0, 9)) for _ in range(30)]
+        texts = [" ".join(w if rng.random() > 0.03 else "x" for w in base[: rng.randint(0, 30)]) for _ in range(12)]
+        assert set(op4.near_of_kept([op4.shingles(t.encode()) for t in texts])) == slow_near(texts)

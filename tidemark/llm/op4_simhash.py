@@ -18,6 +18,7 @@ are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -34,6 +35,12 @@ THRESHOLD = 2
 SEED = 42
 #: Fingerprints at one anchor beyond which they are dealt by equal parts before they are compared.
 CROWD = 4096
+#: The stage's near copies: words of a shingle, the least similarity, and the MinHash bands that find candidates
+#: (a pair of similarity 0.8 shares a band with a probability of 0.9995).
+NEAR_SHINGLE = 5
+SIMILARITY = 0.8
+BANDS = 25
+BAND_ROWS = 6
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -245,12 +252,111 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def shingles(text: bytes | None, size: int = NEAR_SHINGLE) -> np.ndarray:
+    """The distinct hashes of the runs of `size` words, sorted; of all words where they are fewer, none without words."""
+    words = (text or b"").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED)), np.uint64, len(words))
+    n = max(1, len(h) - size + 1)
+    out = np.zeros(n, np.uint64)
+    for k in range(min(size, len(h))):
+        out = (out ^ h[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return np.unique(out)
+
+
+def bands(found: np.ndarray) -> np.ndarray:
+    """One key a band of the MinHash signature of a set of hashes."""
+    if not len(found):
+        return np.zeros(0, np.int64)
+    random = np.random.default_rng(SEED)
+    factors = random.integers(0, 1 << 63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+    least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(found), 512):
+        np.minimum(least, (factors[:, None] * found[None, at : at + 512]).min(1), out=least)
+    key = np.arange(BANDS, dtype=np.uint64)
+    for column in least.reshape(BANDS, BAND_ROWS).T:
+        key = (key ^ column) * np.uint64(0xD6E8FEB86659FD93)
+        key ^= key >> np.uint64(32)
+    return key.view(np.int64)
+
+
+def near_of_kept(sets: list[np.ndarray], similarity: float = SIMILARITY) -> list[int]:
+    """Places of the sets, in order, that are at least so similar (Jaccard) to one that stays before them."""
+    gone = []
+    left = np.array([i for i, s in enumerate(sets) if len(s)], np.int64)
+    while len(left) > 1:
+        own, left = sets[left[0]], left[1:]
+        sizes = np.array([len(sets[i]) for i in left])
+        able = np.minimum(sizes, len(own)) >= similarity * np.maximum(sizes, len(own))
+        near = np.zeros(len(left), bool)
+        if able.any():
+            some = sizes[able]
+            values = np.concatenate([sets[i] for i in left[able]])
+            hit = own[np.minimum(np.searchsorted(own, values), len(own) - 1)] == values
+            both = np.add.reduceat(hit.astype(np.int64), np.cumsum(some) - some)
+            near[able] = both >= similarity * (some + len(own) - both) - 1e-9
+        gone += left[near].tolist()
+        left = left[~near]
+    return gone
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """(fp) of the documents, given by distinct fp, with id and text, that are near copies of one that stays.
+
+    Documents that share a band are candidates and are compared exactly, by cluster of candidates and in order of id.
+    """
+
+    def make():
+        return lambda texts: {"bands": [bands(shingles(t)) for t in texts]}
+
+    rows = common.map_texts(docs, ["fp"], "text", "bands array<long>", make).select("fp", F.explode("bands").alias("band"))
+
+    def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        band, fp = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            band, fp = (np.concatenate((x[-1:], batch.column(k).to_numpy())) for x, k in ((band, 0), (fp, 1)))
+            same = band[1:] == band[:-1]
+            yield pa.RecordBatch.from_arrays([pa.array(fp[:-1][same]), pa.array(fp[1:][same])], names=["a", "b"])
+
+    met = rows.select("band", "fp").repartition("band").sortWithinPartitions("band", "fp")
+    clusters = components(common.arrow_map(met, chained, "a long, b long").where("a < b").distinct())
+    clusters = clusters.unionByName(clusters.select(F.col("component").alias("node"), "component").distinct())  # the smallest isn't listed itself
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, fps, sets = None, [], []
+
+        def closed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([fps[i] for i in near_of_kept(sets)], pa.int64())], names=["fp"])
+
+        for batch in batches:
+            for cluster, fp, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                if cluster != now:
+                    yield closed()
+                    now, fps, sets = cluster, [], []
+                fps.append(fp)
+                sets.append(shingles(text))
+        yield closed()
+
+    told = docs.select("fp", "id", F.col("text").cast("binary").alias("text")).join(clusters, F.col("fp") == F.col("node"))
+    told = told.repartition("component").sortWithinPartitions("component", F.col("id").asc_nulls_last(), "fp")
+    return common.arrow_map(told.select("component", "fp", "text"), compared, "fp long")
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; of repeated rows one."""
+    """One document of each group stays, the one with the smallest id; of repeated rows one. Then near copies go.
+
+    A near copy has a similarity (Jaccard, runs of NEAR_SHINGLE words) of SIMILARITY or more to a document that stays.
+    """
     held = docs.select(F.struct(*docs.columns).alias("own"), F.col("doc_id").cast("long").alias("id"), "text")
     prints = fingerprints(held, ["own", "id"])
     groups = near_duplicate_groups(common.checkpointed(prints.select(F.col("id").alias("doc_id"), "fp")))
     winners = groups.where("node <=> component").select(F.col("fp").alias("w_fp"), F.col("node").alias("w_id"))
     kept = prints.join(winners, (F.col("fp") == F.col("w_fp")) & (F.col("id").eqNullSafe(F.col("w_id"))), "inner")
     first = F.row_number().over(Window.partitionBy("fp", "id").orderBy(F.xxhash64("own.text")))
-    return kept.withColumn("nth", first).where("nth = 1").select("own.*")
+    folder = f"{common.shared_folder(spark)}/tidemark-near-{uuid.uuid4().hex}"
+    kept.withColumn("nth", first).where("nth = 1").select("own", "id", "fp").write.parquet(folder)
+    kept = spark.read.parquet(folder)
+    gone = common.checkpointed(near_copies(kept.select("fp", "id", "own.text")))
+    return kept.join(gone, "fp", "left_anti").select("own.*")
