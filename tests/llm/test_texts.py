@@ -279,5 +279,29 @@ def test_spans_are_cut(spark):
     assert op7.benchmark_hits(docs(spark, [item]).where("false"), items).count() == 0
 
 
+def test_stage_cuts_spans_under_the_coverage_limit(spark, tmp_path):
+    item = " ".join(f"w{i}" for i in range(20))
+    spark.createDataFrame([(None, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    long = " ".join(f"x{i}" for i in range(600))
+    held = docs(spark, [long + " " + item + " end", item, long, None])
+    out = {r.doc_id: r for r in op7.stage(spark, held, str(tmp_path)).collect()}
+    assert out[0].text == long + "  end" and out[0].n_chars == len(long) + 5 and 1 not in out
+    assert (out[2].text, out[2].n_chars, out[3].text, out[3].spans) == (long, len(long), None, 0)
+    assert op7.stage(spark, held, str(tmp_path)).columns == held.columns
+
+
+def test_items_without_id_count_as_in_sql(spark, tmp_path):
+    item = " ".join(f"w{i}" for i in range(20))
+    spark.createDataFrame([(None, item), (None, item + " more"), (3, item)], "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/items")
+    docs(spark, [item, "none of it"]).coalesce(1).write.parquet(f"{tmp_path}/docs")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/docs/*.parquet'")
+    con.execute(f"CREATE VIEW benchmark AS SELECT * FROM '{tmp_path}/items/*.parquet'")
+    names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    want = con.execute(f"SELECT {', '.join(names)} FROM ({op7.ORACLE_SQL}) ORDER BY doc_id").fetchall()
+    got = op7.judged(op7.benchmark_hits(spark.read.parquet(f"{tmp_path}/docs"), spark.read.parquet(f"{tmp_path}/items"))).select(*names).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == want and want[0][3] == 2
+
+
 def test_decontamination_against_sql(spark, sf_dir):
     against_sql(spark, sf_dir, op7.op7_decontamination, op7.ORACLE_SQL)

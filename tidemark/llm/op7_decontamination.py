@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 
 WINDOW = 13
+#: What an item without id is called within; it counts as one item, and no list of items names it.
+NO_ID = "\0"
 #: Bytes of items in one block; its automaton takes some hundred times as many.
 BLOCK_BYTES = 1 << 20
 
@@ -193,7 +195,7 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
     keep: columns of the documents that the result carries, the id by default.
     """
     spark = docs.sparkSession
-    known = items.select(F.col(item_column).cast("string").alias("name"), F.col(item_text).cast("binary").alias("text")).where("name IS NOT NULL AND text IS NOT NULL")
+    known = items.select(F.coalesce(F.col(item_column).cast("string"), F.lit(NO_ID)).alias("name"), F.col(item_text).cast("binary").alias("text")).where("text IS NOT NULL")
     total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
     own = keep or [id_column]
@@ -205,7 +207,8 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
         rows = _pass(rows, key, spark.sparkContext.broadcast(pairs), window)
         if k + 1 < blocks:
             rows = common.checkpointed(rows)
-    return rows.select("own.*", "n_words", "spans", "longest", "items")
+    named = F.transform("items", lambda x: F.when(x != NO_ID, x))
+    return rows.select("own.*", "n_words", "spans", "longest", named.alias("items"))
 
 
 def judged(hits: DataFrame) -> DataFrame:
@@ -219,14 +222,16 @@ def judged(hits: DataFrame) -> DataFrame:
     )
 
 
-def excised(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", span_words: int = WINDOW, coverage: float = 0.05, window: int = WINDOW) -> DataFrame:
-    """The id, `verdict` and `clean_text` of every document.
+def excised(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", span_words: int = WINDOW, coverage: float = 0.05, window: int = WINDOW, keep: list[str] | None = None) -> DataFrame:
+    """The id (or the columns of keep, which doesn't name the text), `verdict` and `clean_text` of every document.
 
     `drop` where at least `coverage` of the words are hit; `cut` where the hit spans of span_words words or more were
     taken out, from the first byte of the first word to the last of the last; `keep`, with the text as it is, else.
     """
-    hits = benchmark_hits(docs, items, id_column, text_column, keep=[id_column, text_column], window=window)
-    own = docs.select(F.struct(*[F.col(id_column)]).alias("own")).schema
+    keep = keep or [id_column]
+    held = docs.select(F.struct(*keep).alias("held"), F.col(text_column).alias("whole"))
+    hits = benchmark_hits(held, items, "held", "whole", keep=["held", "whole"], window=window)
+    own = held.select(F.col("held").alias("own")).schema
     schema = own.add("verdict", "string").add("clean_text", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +240,7 @@ def excised(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_c
             for raw, n, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 hit = sum(s["last"] - s["first"] + 1 for s in spans)
                 long = [s for s in spans if s["last"] - s["first"] + 1 >= span_words]
-                verdict = "drop" if hit and hit >= coverage * n else "cut" if long else "keep"
+                verdict = "drop" if hit and hit >= coverage * n - 1e-9 else "cut" if long else "keep"
                 if verdict == "cut":
                     places = [m.span() for m in re.finditer(rb"[^ ]+", raw.translate(TABLE))]
                     edges = [0, *[x for s in long for x in (places[s["first"]][0], places[s["last"]][1])], len(raw)]
@@ -244,7 +249,7 @@ def excised(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_c
                 texts.append(None if raw is None else raw.decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(verdicts), pa.array(texts, pa.string())], names=["own", "verdict", "clean_text"])
 
-    told = hits.select(F.struct(F.col(id_column)).alias("own"), F.col(text_column).cast("binary").alias("text"), "n_words", "spans")
+    told = hits.select(F.col("held").alias("own"), F.col("whole").cast("binary").alias("text"), "n_words", "spans")
     return common.arrow_map(told, run, schema).select("own.*", "verdict", "clean_text")
 
 
@@ -271,6 +276,12 @@ FROM d LEFT JOIN cov USING (r) LEFT JOIN its USING (r)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go; the others stay as they are."""
-    hits = benchmark_hits(docs, common.table(spark, sf_dir, "benchmark"), keep=docs.columns)
-    return judged(hits).where("NOT contaminated").select(*docs.columns)
+    """Contaminated documents go; from the others the hit spans are cut. n_chars follows."""
+    others = [c for c in docs.columns if c != "text"]
+    held = docs.select(F.struct(*others).alias("tidemark_own"), "text")
+    out = excised(held, common.table(spark, sf_dir, "benchmark"), keep=["tidemark_own"]).where("verdict != 'drop'")
+    cut = F.col("verdict") == "cut"
+    made = {"text": F.col("clean_text")}
+    if "n_chars" in others:
+        made["n_chars"] = F.when(cut, F.char_length("clean_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("tidemark_own.n_chars"))
+    return out.select(*[made.get(c, F.col("tidemark_own")[c]).alias(c) for c in docs.columns])
