@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common, ngrams, sampling
 
-PER_CLASS = 1200
-SAMPLE_BYTES = 8 << 20
+PER_CLASS = 1500
+SAMPLE_BYTES = 12 << 20
 #: A bucket is learnt only if so many documents of the sample have it: rarer ones would just name their document.
 LEAST_DOCS = 6
 BITS = 18
