@@ -61,7 +61,7 @@ def fold(column: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
 
 
-def map_texts(df: DataFrame, columns: list[str], text: str, schema: str, make: Callable[[], Callable[[list[bytes | None]], dict[str, list[Any]]]]) -> DataFrame:
+def map_texts(df: DataFrame, columns: list[str], text: str, schema: str, make: Callable[[], Callable[[list[bytes | None]], dict[str, list[Any]]]], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """A column of texts, as bytes, through a Python function in chunks of bounded size, one row out for each row in.
 
     make() runs once in each task and returns the function; the result has `columns`, then those of `schema`,
@@ -79,7 +79,7 @@ def map_texts(df: DataFrame, columns: list[str], text: str, schema: str, make: C
         arrow, work = to_arrow_schema(out), make()
         for batch in batches:
             raw = batch.column(batch.num_columns - 1)
-            for start, stop in chunks(raw):
+            for start, stop in chunks(raw, chunk_bytes):
                 part = batch.slice(start, stop - start)
                 got = work(part.column(part.num_columns - 1).to_pylist())
                 arrays = [part.column(i).cast(arrow.field(i).type) for i in range(part.num_columns - 1)]

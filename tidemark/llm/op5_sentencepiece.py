@@ -21,11 +21,13 @@ from typing import Any
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import common
+from tidemark.llm import common, sampling
 
 SPACE = "▁"
 #: Segments that a worker remembers; beyond that the table starts anew.
 REMEMBERED = 500_000
+#: Bytes of text whose ids and spans a worker holds at a time.
+CHUNK_BYTES = 1 << 20
 MODEL = "piece_bpe_32k.model"
 
 
@@ -296,21 +298,25 @@ def round_trip_digests(docs: DataFrame, path: str | None = None, id_column: str
     path = path or default_model()
 
     def make():
+        sampling.release()  # of what earlier tasks of this worker held
         tool = encoder(path)
         name = [str(i) for i in range(tool.library.get_piece_size())].__getitem__
 
         def work(texts: list[bytes | None]) -> dict[str, list[Any]]:
-            made = [tool.encode((raw or b"").decode("utf-8", "replace")) for raw in texts]
-            return {
-                "n_tokens": [len(ids) for ids, _, _ in made],
-                "ids_sha256": [_sha256(" ".join(map(name, ids))) for ids, _, _ in made],
-                "decoded_sha256": [_sha256(tool.library.decode(ids)) for ids, _, _ in made],
-                **({"ids": [ids for ids, _, _ in made], "starts": [a for _, a, _ in made], "ends": [b for _, _, b in made]} if tokens else {}),
-            }
+            out: dict[str, list[Any]] = {k: [] for k in ("n_tokens", "ids_sha256", "decoded_sha256", "ids", "starts", "ends")}
+            for raw in texts:
+                ids, starts, ends = tool.encode((raw or b"").decode("utf-8", "replace"))
+                out["n_tokens"].append(len(ids))
+                out["ids_sha256"].append(_sha256(" ".join(map(name, ids))))
+                out["decoded_sha256"].append(_sha256(tool.library.decode(ids)))
+                if tokens:
+                    for k, values in (("ids", ids), ("starts", starts), ("ends", ends)):
+                        out[k].append(np.asarray(values, np.int32))
+            return out
 
         return work
 
-    return common.map_texts(docs, [id_column], text_column, f"{DIGESTS}, {ENCODED}" if tokens else DIGESTS, make)
+    return common.map_texts(docs, [id_column], text_column, f"{DIGESTS}, {ENCODED}" if tokens else DIGESTS, make, CHUNK_BYTES if tokens else common.CHUNK_BYTES)
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
