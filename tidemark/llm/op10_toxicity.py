@@ -2,8 +2,12 @@
 
 A word is the bag of its hashed character n-grams (word ends included); each bucket has a vector, a word the mean of
 its buckets, a window of words the mean of its words, and a linear softmax over that mean gives the window's class.
-Buckets and softmax are trained together in numpy (Adam on whole passes). A label belongs to a document, whose score is
-that of its most toxic window: first every window learns its document's label, then only the window that scores highest.
+Buckets and softmax are trained together in numpy (Adam on whole passes). A label belongs to a document: first every
+window learns its document's label, then only the window that scores highest.
+
+A document's average is taken over the words that speak most for the toxic class, SHARE of its words and LEAST_WORDS at
+least: the mean over all words drowns the few that matter in the noise of the rest (held out at sf0.1 it told apart no
+better than precision and recall of 0.6).
 
 At scoring the softmax folds into one number a bucket, so a text costs a few gathers a byte and no model but that
 table is sent out.
@@ -15,6 +19,7 @@ The training sample is bounded by PER_CLASS documents of each class and SAMPLE_B
 
 from __future__ import annotations
 
+import math
 from typing import Any
 
 import numpy as np
@@ -29,10 +34,12 @@ SAMPLE_BYTES = 12 << 20
 LEAST_DOCS = 6
 BITS = 18
 SIZES = (3, 4, 5, 6)
-#: Words whose mean is scored, and words of a training window.
-WINDOW = 2
+#: Words of a training window.
 TRAIN_WINDOW = 5
-DIMENSIONS = 3
+DIMENSIONS = 5
+#: The strongest words of a document that its average takes: a share of all, and so many at least.
+SHARE = 0.01
+LEAST_WORDS = 2
 THRESHOLD = 0.7
 
 
@@ -49,8 +56,7 @@ def word_scores(data: np.ndarray, counts: np.ndarray, table: np.ndarray) -> np.n
     key = np.add.reduceat(_hashes(data, reach), starts)
     text = np.repeat(np.arange(len(counts)), counts)
     again = np.zeros(len(key), bool)
-    for lag in range(1, WINDOW):  # a repeated word counts once in a window
-        again[lag:] |= (key[lag:] == key[:-lag]) & (text[lag:] == text[:-lag])
+    again[1:] = (key[1:] == key[:-1]) & (text[1:] == text[:-1])
     return np.where(again, 0.0, scores)
 
 
@@ -62,15 +68,14 @@ def _hashes(data: np.ndarray, reach: np.ndarray) -> np.ndarray:
     return out
 
 
-def best_window(scores: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The largest mean over WINDOW consecutive words of each text, or over all of a shorter one; 0 without words."""
+def strongest(scores: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The mean over the strongest words of each text, SHARE of them and LEAST_WORDS at least; 0 without words."""
     out = np.zeros(len(counts))
     at = 0
     for i, n in enumerate(counts.tolist()):
         if n:
-            upto = np.concatenate(([0.0], np.cumsum(scores[at : at + n], dtype=np.float64)))
-            k = min(n, WINDOW)
-            out[i] = (upto[k:] - upto[:-k]).max() / k
+            k = min(n, max(LEAST_WORDS, math.ceil(SHARE * n)))
+            out[i] = np.partition(scores[at : at + n], n - k)[n - k :].mean()
         at += n
     return out
 
@@ -122,29 +127,39 @@ class Bags:
             docs += [d] * k
             at += n
         self.sizes, self.doc = np.array(windows, np.int64), np.array(docs, np.int64)
-        self.window = np.repeat(np.arange(len(windows)), self.sizes)
+        self.opens = np.cumsum(self.sizes) - self.sizes
+        # Sums go over runs: pairs of word and bucket by word and by bucket, places of a word by word, windows as they are.
+        order = np.argsort(self.owner, kind="stable")
+        self.bucket_by_word = self.bucket[order]
+        self.with_buckets, self.word_opens = np.unique(self.owner[order], return_index=True)
+        order = np.argsort(self.bucket, kind="stable")
+        self.word_by_bucket = self.owner[order]
+        self.bucket_opens = np.flatnonzero(np.diff(self.bucket[order], prepend=-1))
+        del self.bucket, self.owner
+        order = np.argsort(self.words, kind="stable").astype(np.int32)
+        self.window_by_word = np.repeat(np.arange(len(windows), dtype=np.int32), self.sizes)[order]
+        self.place_opens = np.searchsorted(self.words[order], np.arange(self.n_words))
 
     def up(self, vectors: np.ndarray) -> np.ndarray:
         """Window means, one column a dimension, from bucket vectors."""
         out = np.empty((len(self.sizes), vectors.shape[1]))
+        word = np.zeros(self.n_words)
         for k in range(vectors.shape[1]):
-            word = np.bincount(self.owner, weights=vectors[self.bucket, k], minlength=self.n_words) * self.share
-            out[:, k] = np.bincount(self.window, weights=word[self.words], minlength=len(self.sizes)) / self.sizes
+            word[self.with_buckets] = np.add.reduceat(vectors[:, k][self.bucket_by_word], self.word_opens)
+            out[:, k] = np.add.reduceat((word * self.share)[self.words], self.opens) / self.sizes
         return out
 
-    def down(self, grad: np.ndarray, active: np.ndarray) -> np.ndarray:
+    def down(self, grad: np.ndarray) -> np.ndarray:
         """Gradient of the bucket vectors from that of the window means."""
         out = np.empty((len(self.used), grad.shape[1]))
-        on = active[self.window]
-        window, words = self.window[on], self.words[on]
         for k in range(grad.shape[1]):
-            word = np.bincount(words, weights=(grad[:, k] / self.sizes)[window], minlength=self.n_words) * self.share
-            out[:, k] = np.bincount(self.bucket, weights=word[self.owner], minlength=len(self.used))
+            word = np.add.reduceat((grad[:, k] / self.sizes)[self.window_by_word], self.place_opens) * self.share
+            out[:, k] = np.add.reduceat(word[self.word_by_bucket], self.bucket_opens)
         return out
 
 
 def train(sample: list[tuple[bytes, int]], steps: int = 40, warm: int = 24, rate: float = 0.3) -> dict[str, Any]:
-    """{"table": one number a bucket, "bias": number}; the logit of a window is scale * mean + bias."""
+    """{"table": one number a bucket, "bias": number}; the logit of words is the mean of their buckets' means, plus the bias."""
     y_doc = np.array([y for _, y in sample], np.float64)
     prior = float(np.clip(y_doc.mean() if len(y_doc) else 0.0, 0.01, 0.99))
     flat = {"table": np.zeros(1 << BITS, np.float32), "bias": float(np.log(prior / (1 - prior)))}
@@ -153,7 +168,7 @@ def train(sample: list[tuple[bytes, int]], steps: int = 40, warm: int = 24, rate
     check = np.arange(len(sample)) % 5 == 4  # kept apart for the threshold
     y_train = y_doc[~check]
     bags = Bags([t for (t, _), c in zip(sample, check, strict=True) if not c])
-    if len(set(y_train.tolist())) < 2 or not len(bags.sizes):
+    if len(set(y_train.tolist())) < 2 or not len(bags.sizes) or not len(bags.used):
         return flat
     rng = np.random.default_rng(7)
     params = [rng.normal(0, 0.1, (len(bags.used), DIMENSIONS)), rng.normal(0, 0.5, (DIMENSIONS, 2)), np.zeros(2)]
@@ -175,7 +190,7 @@ def train(sample: list[tuple[bytes, int]], steps: int = 40, warm: int = 24, rate
         for v in (0, 1):  # both classes count alike
             weight[y == v] *= 0.5 / max(weight[y == v].sum(), 1e-9)
         g = (p - onehot) * weight[:, None]
-        grads = [bags.down(g @ params[1].T, weight > 0), mean.T @ g, g.sum(0)]
+        grads = [bags.down(g @ params[1].T), mean.T @ g, g.sum(0)]
         for q, grad, (m, v) in zip(params, grads, moments, strict=True):
             m += 0.1 * (grad - m)
             v += 0.01 * (grad * grad - v)
@@ -204,7 +219,7 @@ def logits_of(texts: list[bytes | None], model: dict[str, Any]) -> np.ndarray:
     data, counts = ngrams.spaced_words(texts)
     if not len(data):
         return np.full(len(texts), model["bias"])
-    return best_window(word_scores(data, counts, model["table"]), counts) + model["bias"]
+    return strongest(word_scores(data, counts, model["table"]), counts) + model["bias"]
 
 
 def scored(docs: DataFrame, model: dict[str, Any], columns: list[str], score: str = "score") -> DataFrame:
