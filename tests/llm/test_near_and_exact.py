@@ -59,6 +59,33 @@ def test_links_meet_at_an_anchor():
         assert set(where[who == 0].tolist()) & set(where[who == 1].tolist())
 
 
+def test_every_two_bit_pair_meets():
+    """All differences of up to two bits, at the anchors that the narrowed replication goes to; they lie within radius and threshold."""
+    rng = random.Random(4)
+    anchors = op4.Anchors()
+    pairs = [0, *(1 << i for i in range(64)), *(1 << i | 1 << j for i in range(64) for j in range(i))]
+    for _ in range(6):
+        a = rng.getrandbits(64)
+        bits = np.array([a ^ p for p in pairs], np.uint64)
+        who, where = anchors.of(bits)
+        own = where[who == 0]
+        assert len(np.unique(who[np.isin(where, own)])) == len(pairs)
+        far = np.bitwise_count((where ^ bits[who]) & np.uint64((1 << 61) - 1))
+        assert far.max() <= sum(r for _, _, r in op4.BLOCKS) + op4.THRESHOLD
+
+
+def test_every_two_bit_pair_of_a_block_has_a_common_home():
+    """For every word of the short block and every two of its bits."""
+    code = op4.Perfect(*op4.BLOCKS[2])
+    v = np.arange(1 << 15, dtype=np.uint64)
+    points = np.concatenate(([0], 1 << np.arange(15))).astype(np.uint64)
+    homes = np.sort(code.nearest(v[:, None] ^ points[None, :]), axis=1)
+    for i in range(15):
+        for j in range(i):
+            other = homes[(v ^ np.uint64(1 << i | 1 << j)).astype(np.int64)]
+            assert (homes[:, :, None] == other[:, None, :]).any((1, 2)).all()
+
+
 @pytest.mark.parametrize("crowd", [3, 4096])
 def test_forest_connects_as_all_pairs_do(crowd, monkeypatch):
     monkeypatch.setattr(op4, "CROWD", crowd)
@@ -131,6 +158,33 @@ def test_stage_removes_near_copies(spark):
     assert set(range(len(texts))) - kept == slow_near(texts) and len(kept) == 63
 
 
+def test_large_clusters_of_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(op4, "HEADS", 4)
+    monkeypatch.setattr(op4, "PART", 3)
+    rng = random.Random(18)
+    texts = []
+    for _ in range(3):  # groups that share most of a text, so that their clusters hang together
+        base = [f"w{rng.randint(0, 400)}" for _ in range(120)]
+        for _ in range(14):
+            other = list(base)
+            for at in rng.sample(range(120), rng.choice((1, 2, 4, 6))):
+                other[at] = f"x{rng.randint(0, 10**6)}"
+            texts.append(" ".join(other))
+    rng.shuffle(texts)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    kept = {r.doc_id for r in op4.stage(spark, docs, "").collect()}
+    assert set(range(len(texts))) - kept == slow_near(texts) and len(kept) > 3
+
+
+def test_stage_of_odd_rows(spark):
+    long = "sea tide " * 60_000
+    rows = [(1, long, "en", "s", 1), (2, long + "x", "en", "s", 1), (2, long + "x", "en", "s", 1), (None, None, None, None, None), (None, "", "en", "s", 0), (7, "a b", "en", "s", 1), (7, "a b", "en", "s", 1), (7, "c d", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({"r1": F.lit(1), "id": F.lit("x")})
+    kept = op4.stage(spark, docs, "").collect()
+    assert sorted((r.doc_id or 0, (r.text or "")[:3]) for r in kept) == [(0, ""), (1, "sea"), (2, "sea"), (7, "a b"), (7, "c d")] and kept[0].id == "x"
+    assert op4.stage(spark, docs.where("false"), "").count() == 0
+
+
 def test_near_of_kept_as_all_pairs():
     rng = random.Random(9)
     for _ in range(50):

@@ -41,6 +41,9 @@ NEAR_SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 25
 BAND_ROWS = 6
+#: Documents of a cluster of candidates that one task compares with each other, and that one task compares with those.
+HEADS = 512
+PART = 4096
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -227,6 +230,8 @@ def components(pairs: DataFrame) -> DataFrame:
         down = large.join(least, "b")
         small = down.select(F.col("m").alias("a"), F.col("b")).unionByName(down.select(F.col("m").alias("a"), F.col("a").alias("b"))).where("a < b").distinct()
         edges = common.checkpointed(small)
+        del both, least, large, down, small
+        common.tidied(edges.sparkSession)
         now = tuple(edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)), F.count_distinct("b")).first())
         if now == before or now[0] == 0:
             return edges.select(F.col("b").alias("node"), F.col("a").alias("component"))
@@ -302,10 +307,31 @@ def near_of_kept(sets: list[np.ndarray], similarity: float = SIMILARITY) -> list
     return gone
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
+class Leaders:
+    """Sets of hashes, asked which sets are as similar as that to any of them."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        values = np.concatenate([*sets, np.zeros(0, np.uint64)])
+        order = np.argsort(values, kind="stable")
+        self.values, self.owner = values[order], np.repeat(np.arange(len(sets)), self.sizes)[order]
+
+    def near(self, own: np.ndarray, similarity: float = SIMILARITY) -> bool:
+        if not len(own):
+            return False
+        low, high = (np.searchsorted(self.values, own, side) for side in ("left", "right"))
+        many = high - low
+        at = np.arange(many.sum()) + np.repeat(low - (np.cumsum(many) - many), many)
+        both = np.bincount(self.owner[at], minlength=len(self.sizes))
+        return bool((both >= similarity * (self.sizes + len(own) - both) - 1e-9).any())
+
+
+def near_copies(docs: DataFrame, folder: str) -> DataFrame:
     """(fp) of the documents, given by distinct fp, with id and text, that are near copies of one that stays.
 
-    Documents that share a band are candidates and are compared exactly, by cluster of candidates and in order of id.
+    Documents that share a band are candidates; clusters of candidates are compared exactly, in order of id. A cluster
+    of up to HEADS documents is compared in one task. Of a larger one the first HEADS are, and those that stay go
+    against the rest, in as many parts as the rest needs; then the next HEADS of what is left, and so on.
     """
 
     def make():
@@ -323,12 +349,40 @@ def near_copies(docs: DataFrame) -> DataFrame:
     met = rows.select("band", "fp").repartition("band").sortWithinPartitions("band", "fp")
     clusters = components(common.arrow_map(met, chained, "a long, b long").where("a < b").distinct())
     clusters = clusters.unionByName(clusters.select(F.col("component").alias("node"), "component").distinct())  # the smallest isn't listed itself
+    sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    clusters = clusters.join(sizes, "component").select(F.col("node").alias("fp"), "component", "size")
+    docs.select("fp", "id", F.col("text").cast("binary").alias("text")).join(clusters, "fp").write.parquet(f"{folder}/candidates")
+    told = docs.sparkSession.read.parquet(f"{folder}/candidates")
+
+    small = _first_come(told.where(F.col("size") <= HEADS)).where("NOT stays").select("fp")
+    gone = [common.checkpointed(small)]
+    left = common.checkpointed(told.where(F.col("size") > HEADS).select("component", "id", "fp"))
+    first = F.row_number().over(Window.partitionBy("component").orderBy(F.col("id").asc_nulls_last(), "fp"))
+    while not left.isEmpty():
+        heads = common.checkpointed(left.withColumn("nth", first).where(F.col("nth") <= HEADS).drop("nth"))
+        judged = common.checkpointed(_first_come(told.join(heads.select("fp"), "fp", "left_semi")))
+        gone.append(judged.where("NOT stays").select("fp"))
+        rest = common.checkpointed(left.join(heads.select("fp"), "fp", "left_anti"))
+        parts = rest.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+        similar = common.checkpointed(_near_of_leaders(told, rest, judged.where("stays").select("fp"), parts))
+        gone.append(similar)
+        left = common.checkpointed(rest.join(similar, "fp", "left_anti"))
+        common.tidied(docs.sparkSession)
+    out = gone[0]
+    for part in gone[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _first_come(told: DataFrame) -> DataFrame:
+    """(fp, stays) of every document; it stays unless it is a near copy of one of its cluster that stays before it."""
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, fps, sets = None, [], []
 
         def closed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([fps[i] for i in near_of_kept(sets)], pa.int64())], names=["fp"])
+            gone = set(near_of_kept(sets))
+            return pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array([i not in gone for i in range(len(fps))], pa.bool_())], names=["fp", "stays"])
 
         for batch in batches:
             for cluster, fp, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
@@ -339,9 +393,34 @@ def near_copies(docs: DataFrame) -> DataFrame:
                 sets.append(shingles(text))
         yield closed()
 
-    told = docs.select("fp", "id", F.col("text").cast("binary").alias("text")).join(clusters, F.col("fp") == F.col("node"))
-    told = told.repartition("component").sortWithinPartitions("component", F.col("id").asc_nulls_last(), "fp")
-    return common.arrow_map(told.select("component", "fp", "text"), compared, "fp long")
+    rows = told.repartition("component").sortWithinPartitions("component", F.col("id").asc_nulls_last(), "fp")
+    return common.arrow_map(rows.select("component", "fp", "text"), compared, "fp long, stays boolean")
+
+
+def _near_of_leaders(told: DataFrame, rest: DataFrame, leaders: DataFrame, parts: DataFrame) -> DataFrame:
+    """(fp) of the rest that are near copies of a leader of their cluster; every part of a cluster gets its leaders."""
+    text = told.select("fp", "component", "text").join(parts, "component")
+    asked = text.join(rest.select("fp"), "fp", "left_semi").select("component", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("asked"), "fp", "text")
+    told_to = text.join(leaders, "fp", "left_semi").select("component", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("asked"), "fp", "text")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sets, leaders = None, [], None
+        for batch in batches:
+            near = []
+            for component, part, asked, fp, text in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if (component, part) != now:
+                    now, sets, leaders = (component, part), [], None
+                if not asked:
+                    sets.append(shingles(text))
+                    continue
+                if leaders is None:
+                    leaders = Leaders(sets)
+                if leaders.near(shingles(text)):
+                    near.append(fp)
+            yield pa.RecordBatch.from_arrays([pa.array(near, pa.int64())], names=["fp"])
+
+    both = asked.unionByName(told_to).repartition("component", "part").sortWithinPartitions("component", "part", "asked")
+    return common.arrow_map(both, compared, "fp long")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -349,14 +428,23 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A near copy has a similarity (Jaccard, runs of NEAR_SHINGLE words) of SIMILARITY or more to a document that stays.
     """
-    held = docs.select(F.struct(*docs.columns).alias("own"), F.col("doc_id").cast("long").alias("id"), "text")
-    prints = fingerprints(held, ["own", "id"])
-    groups = near_duplicate_groups(common.checkpointed(prints.select(F.col("id").alias("doc_id"), "fp")))
-    winners = groups.where("node <=> component").select(F.col("fp").alias("w_fp"), F.col("node").alias("w_id"))
-    kept = prints.join(winners, (F.col("fp") == F.col("w_fp")) & (F.col("id").eqNullSafe(F.col("w_id"))), "inner")
-    first = F.row_number().over(Window.partitionBy("fp", "id").orderBy(F.xxhash64("own.text")))
     folder = f"{common.shared_folder(spark)}/tidemark-near-{uuid.uuid4().hex}"
-    kept.withColumn("nth", first).where("nth = 1").select("own", "id", "fp").write.parquet(folder)
-    kept = spark.read.parquet(folder)
-    gone = common.checkpointed(near_copies(kept.select("fp", "id", "own.text")))
+    # A row is known by two hashes of its id and text; of repeated rows any one stays.
+    row = [F.xxhash64("id", "text"), F.xxhash64(F.lit(1), "id", "text")]
+    held = docs.select(F.struct(*docs.columns).alias("own"), F.col("doc_id").cast("long").alias("id"), "text").withColumns({"r1": row[0], "r2": row[1]})
+    fingerprints(held, ["id", "r1", "r2"]).write.parquet(f"{folder}/prints")
+    prints = spark.read.parquet(f"{folder}/prints")
+    groups = near_duplicate_groups(prints.select(F.col("id").alias("doc_id"), "fp"))
+    winners = groups.where("node <=> component").select(F.col("fp").alias("w_fp"), F.col("node").alias("w_id"))
+    won = prints.join(winners, (F.col("fp") == F.col("w_fp")) & F.col("id").eqNullSafe(F.col("w_id")))
+    chosen = won.groupBy("fp", "id").agg(F.min(F.struct("r1", "r2")).alias("r")).select("fp", "r.*")
+    kept = held.join(chosen, ["r1", "r2"]).withColumn("nth", F.row_number().over(Window.partitionBy("r1", "r2").orderBy("fp")))
+    kept.where("nth = 1").select("own", "id", "fp").write.parquet(f"{folder}/kept")
+    del prints, groups, winners, won, chosen, kept
+    common.removed(spark, f"{folder}/prints")
+    common.tidied(spark)
+    kept = spark.read.parquet(f"{folder}/kept")
+    gone = common.checkpointed(near_copies(kept.select("fp", "id", "own.text"), folder))
+    common.removed(spark, f"{folder}/candidates")
+    common.tidied(spark)
     return kept.join(gone, "fp", "left_anti").select("own.*")
