@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -14,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker holds decoded at a time.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,20 +39,57 @@ def shipped(spark: SparkSession) -> None:
     context._tidemark_shipped = True
 
 
+#: Rows and bytes of an Arrow batch between the JVM and Python, unless the session names its own: texts are long rows.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
 def arrow_map(df: DataFrame, function, schema) -> DataFrame:
-    shipped(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    """mapInArrow in batches of bounded size; a task that ends gives its memory back, as its worker goes on to others."""
+    spark = df.sparkSession
+    shipped(spark)
+    own = spark._jsparkSession.sessionState().conf()
+    for key, value in BATCH.items():
+        if not own.contains(key):
+            spark.conf.set(key, value)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        release()
+
+    return df.mapInArrow(run, schema)
+
+
+def release() -> None:
+    """Gives freed memory back to the system, where its allocators can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; one of our own only where none is set."""
+    """The folder that spark.checkpoint.dir names, or that the context has; one of our own only on a local master, as in tests."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None and context.getCheckpointDir() is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
     return (named or context.getCheckpointDir()).rstrip("/")
 
 
+def tidied(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of rounds whose lineage has been cut: it does so when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def removed(spark: SparkSession, folder: str) -> None:
+    """Takes a folder of intermediate results away."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage in the shared folder."""
     shared_folder(df.sparkSession)

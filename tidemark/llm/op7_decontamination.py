@@ -17,7 +17,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -164,9 +164,9 @@ def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _pass(docs: DataFrame, key: str, block, window: int) -> DataFrame:
-    """Adds one block's hits to those that the rows carry."""
-    schema = docs.schema
+def _pass(docs: DataFrame, key: str, block, window: int, judge: Callable | None = None) -> DataFrame:
+    """Adds one block's hits to those that the rows carry; with judge, the last pass, the text becomes what it returns."""
+    schema = docs.drop("text").schema.add("verdict", "string").add("clean_text", "string") if judge else docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(key, block.value, window)
@@ -175,24 +175,31 @@ def _pass(docs: DataFrame, key: str, block, window: int) -> DataFrame:
             for start, stop in common.chunks(texts):
                 batch = whole.slice(start, stop - start)
                 col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-                n, spans, longest, items = [], [], [], []
-                for text, s0, l0, i0 in zip(col["text"].to_pylist(), col["spans"].to_pylist(), col["longest"].to_pylist(), col["items"].to_pylist(), strict=True):
+                raw, n, spans, longest, items = col["text"].to_pylist(), [], [], [], []
+                for text, s0, l0, i0 in zip(raw, col["spans"].to_pylist(), col["longest"].to_pylist(), col["items"].to_pylist(), strict=True):
                     words = words_of(text)
                     s, most, found = automaton.scan(words)
                     n.append(len(words))
-                    spans.append([{"first": a, "last": b} for a, b in merged([*((x["first"], x["last"]) for x in s0), *s])])
+                    spans.append(merged([*((x["first"], x["last"]) for x in s0), *s]))
                     longest.append(max(l0, most))
                     items.append(sorted({*i0, *found}))
-                col |= {"n_words": n, "spans": spans, "longest": longest, "items": items}
-                yield pa.RecordBatch.from_arrays([pa.array(col[f.name], type=f.type) if isinstance(col[f.name], list) else col[f.name] for f in batch.schema], schema=batch.schema)
+                kinds = {f.name: f.type for f in batch.schema}
+                if judge:
+                    told = [judge(*row) for row in zip(raw, n, spans, strict=True)]
+                    col |= {"verdict": [v for v, _ in told], "clean_text": [t for _, t in told]}
+                    del col["text"]
+                    kinds = {k: t for k, t in kinds.items() if k != "text"} | {"verdict": pa.string(), "clean_text": pa.string()}
+                col |= {"n_words": n, "spans": [[{"first": a, "last": b} for a, b in s] for s in spans], "longest": longest, "items": items}
+                yield pa.RecordBatch.from_arrays([pa.array(col[k], type=t) if isinstance(col[k], list) else col[k] for k, t in kinds.items()], names=list(kinds))
 
     return common.arrow_map(docs, run, schema)
 
 
-def benchmark_hits(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text", keep: list[str] | None = None, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def benchmark_hits(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text", keep: list[str] | None = None, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, judge: Callable | None = None) -> DataFrame:
     """Every document with n_words, the hit spans in words, the longest match and the ids of the items found.
 
-    keep: columns of the documents that the result carries, the id by default.
+    keep: columns of the documents that the result carries, the id by default. judge: of text, words and spans makes
+    the columns verdict and clean_text, which the result has then too.
     """
     spark = docs.sparkSession
     known = items.select(F.coalesce(F.col(item_column).cast("string"), F.lit(NO_ID)).alias("name"), F.col(item_text).cast("binary").alias("text")).where("text IS NOT NULL")
@@ -204,11 +211,11 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
         part = known.where(F.pmod(F.xxhash64("name"), F.lit(blocks)) == k).collect()  # about block_bytes of text
         pairs = sorted((r.name, bytes(r.text)) for r in part)
         key = hashlib.sha256(repr((window, pairs)).encode()).hexdigest()
-        rows = _pass(rows, key, spark.sparkContext.broadcast(pairs), window)
+        rows = _pass(rows, key, spark.sparkContext.broadcast(pairs), window, judge if k + 1 == blocks else None)
         if k + 1 < blocks:
             rows = common.checkpointed(rows)
     named = F.transform("items", lambda x: F.when(x != NO_ID, x))
-    return rows.select("own.*", "n_words", "spans", "longest", named.alias("items"))
+    return rows.select("own.*", "n_words", "spans", "longest", named.alias("items"), *(["verdict", "clean_text"] if judge else []))
 
 
 def judged(hits: DataFrame) -> DataFrame:
@@ -230,27 +237,20 @@ def excised(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_c
     """
     keep = keep or [id_column]
     held = docs.select(F.struct(*keep).alias("held"), F.col(text_column).alias("whole"))
-    hits = benchmark_hits(held, items, "held", "whole", keep=["held", "whole"], window=window)
-    own = held.select(F.col("held").alias("own")).schema
-    schema = own.add("verdict", "string").add("clean_text", "string")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            verdicts, texts = [], []
-            for raw, n, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                hit = sum(s["last"] - s["first"] + 1 for s in spans)
-                long = [s for s in spans if s["last"] - s["first"] + 1 >= span_words]
-                verdict = "drop" if hit and hit >= coverage * n - 1e-9 else "cut" if long else "keep"
-                if verdict == "cut":
-                    places = [m.span() for m in re.finditer(rb"[^ ]+", raw.translate(TABLE))]
-                    edges = [0, *[x for s in long for x in (places[s["first"]][0], places[s["last"]][1])], len(raw)]
-                    raw = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                verdicts.append(verdict)
-                texts.append(None if raw is None else raw.decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(verdicts), pa.array(texts, pa.string())], names=["own", "verdict", "clean_text"])
-
-    told = hits.select(F.col("held").alias("own"), F.col("whole").cast("binary").alias("text"), "n_words", "spans")
-    return common.arrow_map(told, run, schema).select("own.*", "verdict", "clean_text")
+    def judge(raw: bytes | None, n: int, spans: list[tuple[int, int]]) -> tuple[str, str | None]:
+        hit = sum(b - a + 1 for a, b in spans)
+        if hit and hit >= coverage * n - 1e-9:
+            return "drop", raw.decode("utf-8", "replace")
+        long = [s for s in spans if s[1] - s[0] + 1 >= span_words]
+        if not long:
+            return "keep", None if raw is None else raw.decode("utf-8", "replace")
+        places = [m.span() for m in re.finditer(rb"[^ ]+", raw.translate(TABLE))]
+        edges = [0, *[x for a, b in long for x in (places[a][0], places[b][1])], len(raw)]
+        return "cut", b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)).decode("utf-8", "replace")
+
+    hits = benchmark_hits(held, items, "held", "whole", keep=["held"], window=window, judge=judge)
+    return hits.select("held.*", "verdict", "clean_text")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

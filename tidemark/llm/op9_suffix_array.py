@@ -60,7 +60,7 @@ MOST_ANCHORS = 1 << 24
 HOT_BITS = 20
 #: Bytes of a text that are looked at at a time, and of texts that are looked at together.
 SEGMENT = 4 << 20
-TOGETHER = 1 << 20
+TOGETHER = 1 << 19
 #: Windows sorted at a time, and classes that a task puts together before it tells them.
 BATCH_WINDOWS = 400_000
 REMEMBERED = 100_000

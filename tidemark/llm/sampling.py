@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
-import gc
 import pickle
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
@@ -94,13 +91,6 @@ def fitting(sizes: Sequence[tuple[Any, int]], most_bytes: int) -> list[int | Non
     return out
 
 
-def release() -> None:
-    """Gives freed memory back to the system, where its allocator can: the worker goes on to other tasks."""
-    gc.collect()
-    with contextlib.suppress(OSError, AttributeError):
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-
-
 def trained(sample: DataFrame, train: Callable[[list[tuple[bytes, Any]]], Any]) -> Any:
     """What train makes of the (text, label) rows of a bounded sample; it runs in one task, and the driver gets the model alone."""
 
@@ -110,7 +100,7 @@ def trained(sample: DataFrame, train: Callable[[list[tuple[bytes, Any]]], Any])
             rows += zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
         model = pickle.dumps(train(rows))
         rows.clear()
-        release()
+        common.release()
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
     made = common.arrow_map(sample.coalesce(1), run, "model binary").collect()
