@@ -269,7 +269,7 @@ def default_model() -> str:
     return public_tokenizers.path(MODEL)
 
 
-DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string"
 ENCODED = "ids array<int>, starts array<int>, ends array<int>"
 
 
@@ -294,7 +294,9 @@ def encoded(docs: DataFrame, path: str | None = None, id_column: str = "doc_id",
 
 
 def round_trip_digests(docs: DataFrame, path: str | None = None, id_column: str = "doc_id", text_column: str = "text", tokens: bool = False) -> DataFrame:
-    """Number and digest of the ids of every text, and the digest of what they decode to; with tokens, the ids and their original byte spans too."""
+    """Number and digest of the ids of every text, the digests of what they decode to and of their original byte spans
+
+    (start and end of each id, as little-endian longs); with tokens, the ids and their original byte spans too."""
     path = path or default_model()
 
     def make():
@@ -302,12 +304,14 @@ def round_trip_digests(docs: DataFrame, path: str | None = None, id_column: str
         name = [str(i) for i in range(tool.library.get_piece_size())].__getitem__
 
         def work(texts: list[bytes | None]) -> dict[str, list[Any]]:
-            out: dict[str, list[Any]] = {k: [] for k in ("n_tokens", "ids_sha256", "decoded_sha256", "ids", "starts", "ends")}
+            out: dict[str, list[Any]] = {k: [] for k in ("n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256", "ids", "starts", "ends")}
             for raw in texts:
                 ids, starts, ends = tool.encode((raw or b"").decode("utf-8", "replace"))
                 out["n_tokens"].append(len(ids))
                 out["ids_sha256"].append(_sha256(" ".join(map(name, ids))))
                 out["decoded_sha256"].append(_sha256(tool.library.decode(ids)))
+                spans = np.column_stack((starts, ends)).astype("<i8")
+                out["spans_sha256"].append(hashlib.sha256(spans.tobytes()).hexdigest())
                 if tokens:
                     for k, values in (("ids", ids), ("starts", starts), ("ends", ends)):
                         out[k].append(np.asarray(values, np.int32))
@@ -324,4 +328,4 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document with their original byte spans, and the contract's digests."""
-    return round_trip_digests(docs, tokens=True).select("doc_id", "n_tokens", "ids", "starts", "ends", "ids_sha256", "decoded_sha256")
+    return round_trip_digests(docs, tokens=True).select("doc_id", "n_tokens", "ids", "starts", "ends", "ids_sha256", "decoded_sha256", "spans_sha256")
