@@ -131,6 +131,27 @@ def test_a_batch_that_broke_off_is_not_counted(spark, tmp_path):
     assert r.apply("b", df) and r.totals().agg(F.sum("n_docs")).first()[0] == 2  # two tokenizer versions
 
 
+def test_one_batch_at_a_time(spark, tmp_path):
+    schema = "doc_id long, op string, text string, source string, lang string, seq long"
+    r = op3.Rollups(spark, f"file://{tmp_path}/rollups")
+    one = spark.createDataFrame([(1, "insert", "one two", "a", "en", 0), (None, "insert", "x", "a", "en", 0), (None, "insert", "x", "a", "en", 0)], schema)
+    r._claim(1, "b")  # b began and broke off
+    with pytest.raises(RuntimeError):
+        r.apply("c", one)
+    assert r.apply("b", one) and not r.apply("b", one) and r.apply("c", one.where("false"))
+    assert {(x.tokenizer, x.n_docs) for x in r.totals().collect()} == {(op3.BPE, 2), (op3.WORDS, 2)}
+
+
+def test_token_counts_of_odd_rows(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, seq long, n_bpe long, alive string"
+    rows = [(1, None, "en", None, 0, 9, 9, "x"), (2, "", None, "s", 0, 9, 9, "x"), (3, "w " * 200_000, "en", "s", 1, 9, 9, "x"), (3, "w " * 200_000, "en", "s", 1, 9, 9, "x"), (None, "a b", "en", "s", 0, 9, 9, "x")]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/some/documents.parquet")
+    got = {(x.source, x.lang): (x.n_docs, x.n_tokens) for x in op3.op3_token_counts(spark, f"{tmp_path}/some").where(F.col("tokenizer") == op3.WORDS).collect()}
+    assert got == {(None, "en"): (1, 0), ("s", None): (1, 0), ("s", "en"): (2, 200_002)}
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert op3.op3_token_counts(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_token_counts_query(spark, sf_dir):
     encode = op3._tokenizer(op3.default_vocabulary()).encode_ordinary
     want = {}

@@ -7,8 +7,12 @@ a batch that failed half-way is written over when it is run again, and one that
 
 Defined results: a null text has no token; a null source or language is a group of its own; an insert of a known
 document counts as a revision, a delete of an unknown one changes nothing; of several changes of one document in a
-batch the last by `seq` holds (ties: the largest text), and repeated rows count once. A null id is a document of its
-own. Groups that fall back to zero documents stay, with zeros.
+batch the last by `seq` holds (ties: the largest text), and repeated rows count once, also those without an id, which
+are known by text, source and language. Groups that fall back to zero documents stay, with zeros; other columns are not
+read; an empty batch is committed and changes nothing.
+
+One batch is applied at a time: it claims the next number by creating a file that mustn't be there, and a claim of a
+batch that isn't committed holds off every other batch until that one is run again.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from __future__ import annotations
 import base64
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +97,7 @@ class Rollups:
         if known.where(F.col("batch") == batch).count():
             return False
         number = (known.agg(F.max("number")).first()[0] or 0) + 1
+        self._claim(number, batch)
         columns = ["doc_id", "source", "lang", "op", "seq"]
         doc_id = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.xxhash64("text", "source", "lang").cast("string")))
         counts = counted(changes.withColumn("doc_id", doc_id).select(*columns, "text"), columns, self.vocabulary)
@@ -110,15 +116,38 @@ class Rollups:
         self._write(self.spark.createDataFrame([(number, batch)], self.COMMITS).coalesce(1), "commits", batch)
         return True
 
+    def _claim(self, number: int, batch: str) -> None:
+        """Creates the file of this number with the batch's name, or finds that the same batch did so before it failed."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/claims/{number:012d}-{uuid.uuid5(uuid.NAMESPACE_OID, batch).hex}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        first = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/claims/{number:012d}")
+        if not files.exists(path):
+            try:
+                files.create(first, False).close()
+            except Py4JJavaError as e:
+                raise RuntimeError(f"another batch is being applied as number {number}") from e
+            files.create(path, True).close()
+
     def totals(self) -> DataFrame:
         done = self._read("deltas", self.DELTAS).join(F.broadcast(self.commits().select("batch")), "batch")
         return done.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as one batch into a new folder of rollups; the batch is sent twice, and counts once."""
+    """Token totals of all documents, come to by three batches into a new folder of rollups, each sent twice.
+
+    The first inserts every document without its language, and beside it a draft that holds its source's name; the
+    second revises every document, now with its language; the third deletes the drafts. Groups left without documents
+    are not shown.
+    """
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    known = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.xxhash64("text", "source", "lang").cast("string")))
+    docs = docs.withColumn("doc_id", known)
+    drafts = docs.select(F.concat(F.lit("draft:"), F.col("doc_id")).alias("doc_id"), F.col("source").alias("text"), "source", F.lit(None).cast("string").alias("lang"))
+    without = docs.withColumn("lang", F.lit(None).cast("string"))
     rollups = Rollups(spark, f"{common.shared_folder(spark)}/tidemark-token-counts-{uuid.uuid4().hex}")
-    for _ in range(2):
-        rollups.apply("documents", docs.withColumns({"op": F.lit("insert"), "seq": F.lit(0).cast("long")}))
-    return rollups.totals()
+    batches = [("arrival", without.unionByName(drafts), "insert"), ("languages", docs, "revise"), ("drafts", drafts, "delete")]
+    for name, changes, op in batches:
+        for _ in range(2):
+            rollups.apply(name, changes.withColumns({"op": F.lit(op), "seq": F.lit(0).cast("long")}))
+    return rollups.totals().where("n_docs <> 0")
