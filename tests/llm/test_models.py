@@ -1,6 +1,8 @@
 """Classifiers by their accuracy on texts they haven't seen, and the pipeline."""
 
+import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -90,12 +92,12 @@ def rng_table(bits):
 
 def test_language_likelihood_is_a_sum_of_n_grams():
     model = op8.train([(b"abc abd", "x"), (b"xyz xyw xxx", "y")])
-    text = b"ab xy"
-    data = b" ab xy "
+    text = "ab xyé".encode()
+    data = np.array([ord(c) for c in " ab xyé "], np.uint32)  # n-grams of characters, not of bytes
     want = model["prior"].copy()
     counts = {}
     for n in op8.SIZES:
-        grams = [b for _, b in ngrams.gram_buckets(np.frombuffer(data, np.uint8), (n,), op8.BITS)][0]
+        grams = [b for _, b in ngrams.gram_buckets(data, (n,), op8.BITS)][0]
         for i in range(len(data) - 1 if n == 1 else len(data) - n + 1):
             counts[(n, int(grams[i]))] = counts.get((n, int(grams[i])), 0) + 1
     for (_, b), c in counts.items():
@@ -180,3 +182,96 @@ def test_stages_take_empty_and_odd_tables(spark, sf_dir, stage):
     out = f(spark, docs, sf_dir)
     assert out.count() >= 2 and (stage == 4 or out.columns == docs.columns)
     assert f(spark, docs.where("false"), sf_dir).count() == 0
+
+
+def test_rare_languages_are_learnt(spark):
+    rows = [(i, f"the sea and the tide {i}", "en") for i in range(3000)] + [(10_000 + i, f"ðær þæt wæs ꝥ {i}", "ang") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = op8.sample_texts(docs, rows=100)
+    count = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
+    open_rare = sum(fold(10_000 + i, 4) != 2 for i in range(12))
+    assert count == {"en": 100, "ang": open_rare}
+    model = sampling.trained(sample, op8.train)
+    assert {r.lang_pred for r in op8.identified(docs.where("lang = 'ang'"), model, ["doc_id"]).collect()} == {"ang"}
+
+
+def test_classifiers_on_empty_tables(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(1, 1, 1)], "doc_id long, quality int, toxic int")
+    for op in (op6, op10):
+        model = op.fitted(docs, labels)
+        assert op.scored(docs, model, ["doc_id"]).count() == 0
+        one = spark.createDataFrame([(5, None)], "doc_id long, text string")
+        assert 0 <= op.scored(one, model, ["doc_id"]).first().score <= 1
+    assert op8.identified(docs, sampling.trained(op8.sample_texts(docs), op8.train), ["doc_id"]).count() == 0
+
+
+def test_quality_score_is_a_sparse_dot_product():
+    """Against tokens, pairs and weights taken one by one."""
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["sea", "tide", "!!", "7up", "é", "sea sea"]) for _ in range(rng.randint(1, 30))).encode() for _ in range(60)]
+    model = op6.train([(t, i % 2) for i, t in enumerate(texts)])
+    for text in [*texts[:20], b""]:
+        h = ngrams.token_hashes([text])[0].tolist()
+        assert len(h) == len(re.findall(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff \t\n\r\x0b\x0c]+", text))
+        pairs = [int(op6._REPEAT) if a == b else (a * 0x9FB21C651E98DF25 + b) % 2**64 for a, b in zip(h, h[1:])]
+        buckets = [(x * 0x9E3779B97F4A7C15 % 2**64) >> (64 - op6.BITS) for x in h + pairs]
+        want = model["bias"] + sum(op6.SCALE / len(buckets) * float(model["weights"][b]) for b in buckets)
+        assert op6.logits_of([text], model)[0] == pytest.approx(want, abs=1e-4)
+
+
+def test_ftrl_as_by_hand():
+    """One coordinate, updates written out."""
+    m = op6.Ftrl(alpha=0.5, beta=1.0, l1=0.02, l2=1e-4)
+    z = n = bz = bn = 0.0
+    at, x = np.array([3]), np.array([0.7])
+    for y in (1, 0, 1, 1):
+        w = 0.0 if abs(z) <= 0.02 else (math.copysign(0.02, z) - z) / ((1 + math.sqrt(n)) / 0.5 + 1e-4)
+        b = -bz / ((1 + math.sqrt(bn)) / 0.5)
+        err = 1 / (1 + math.exp(-(w * 0.7 + b))) - y
+        g = err * 0.7
+        z += g - (math.sqrt(n + g * g) - math.sqrt(n)) / 0.5 * w
+        n += g * g
+        bz += err - (math.sqrt(bn + err * err) - math.sqrt(bn)) / 0.5 * b
+        bn += err * err
+        m.learn(at, x, y, 1.0)
+    assert m.z[3] == pytest.approx(z) and m.n[3] == pytest.approx(n) and m.bias == pytest.approx(-bz / ((1 + math.sqrt(bn)) / 0.5))
+
+
+def test_toxicity_score_by_hand():
+    """Against n-grams, words and the strongest words taken one by one."""
+    table = rng_table(op10.BITS)
+    model = {"table": table, "bias": -0.5}
+    rng = random.Random(9)
+    for n in (0, 1, 2, 5, 250):
+        words = [rng.choice(["alpha", "bé", "x", "gamma", "delta7"]) for _ in range(n)]
+        scores = []
+        for i, w in enumerate(words):
+            raw = f" {w} ".encode().translate(ngrams.WORD_TABLE)
+            grams = [raw[a : a + k] for k in op10.SIZES for a in range(len(raw) - k + 1)]
+            found = [float(table[[b for _, b in ngrams.gram_buckets(np.frombuffer(g, np.uint8), (len(g),), op10.BITS)][0][0]]) for g in grams]
+            scores.append(0.0 if i and words[i - 1] == w else sum(found) / max(1, len(found)))
+        k = min(n, max(op10.LEAST_WORDS, math.ceil(op10.SHARE * n)))
+        want = -0.5 + (sum(sorted(scores)[n - k :]) / k if n else 0.0)
+        assert op10.logits_of([" ".join(words).encode()], model)[0] == pytest.approx(want, abs=1e-4)
+
+
+def test_bags_sums_as_loops():
+    rng = random.Random(13)
+    texts = [" ".join(rng.choice(["sea", "tide", "moon", "mooned", "salt"]) for _ in range(rng.randint(1, 23))).encode() for _ in range(30)]
+    bags = op10.Bags(texts)
+    v = np.random.default_rng(1).normal(size=(len(bags.used), 2))
+    column = {int(b): i for i, b in enumerate(bags.used)}
+
+    def word(w):
+        raw = np.frombuffer(b" " + w + b" ", np.uint8)
+        grams = [int(b) for k in op10.SIZES if k <= len(raw) for b in [x for _, x in ngrams.gram_buckets(raw, (k,), op10.BITS)][0]]
+        return sum((v[column[g]] for g in grams if g in column), np.zeros(2)) / max(1, len(grams))
+
+    words = [w for t in texts for w in t.split()]
+    ends = np.cumsum(bags.sizes)
+    want = np.array([np.mean([word(w) for w in words[e - n : e]], axis=0) for e, n in zip(ends, bags.sizes)])
+    up = bags.up(v)
+    assert np.allclose(up, want)
+    grad = np.random.default_rng(2).normal(size=up.shape)
+    assert np.isclose((bags.down(grad) * v).sum(), (grad * up).sum())  # the adjoint

@@ -25,9 +25,20 @@ def spaced_words(texts: Sequence[bytes | None]) -> tuple[np.ndarray, np.ndarray]
     return np.frombuffer(joined, np.uint8), np.array([len(p) for p in parts], np.int64)
 
 
+def code_points(data: np.ndarray) -> np.ndarray:
+    """The characters of UTF-8 bytes."""
+    return np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+
+
+def _mixed_points(points: np.ndarray) -> np.ndarray:
+    h = points * np.uint32(0xCC9E2D51)
+    h ^= h >> np.uint32(15)
+    return h * np.uint32(0x1B873593) | np.uint32(1)
+
+
 def gram_buckets(data: np.ndarray, sizes: Sequence[int], bits: int):
-    """For each size, the bucket of the n-gram that starts at each byte (shorter at the end)."""
-    mixed = _MIX[data]
+    """For each size, the bucket of the n-gram that starts at each byte, or code point (shorter at the end)."""
+    mixed = _MIX[data] if data.dtype == np.uint8 else _mixed_points(data)
     h = np.zeros(len(data), np.uint32)
     for n in range(1, max(sizes) + 1):
         if n > len(data):

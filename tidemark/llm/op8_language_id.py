@@ -1,12 +1,12 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-N-grams of SIZES bytes of the lower-case words (a space at either end) are hashed into 2**BITS buckets. Counts by
+N-grams of SIZES characters of the lower-case words (a space at either end) are hashed into 2**BITS buckets. Counts by
 language, smoothed, give a matrix of log-probabilities that is broadcast; a text's log-likelihoods are sums of its
 n-grams' rows, taken sparsely in numpy.
 
 Defined results: a null text, or one without a letter, is `und` with score 0; with nothing learnt every text is; ties
 go to the language that is first in order; repeated rows are judged alike; other columns are not read. The training
-sample is bounded by SAMPLE_ROWS documents and SAMPLE_BYTES of text.
+sample is bounded by SAMPLE_ROWS documents of each language and SAMPLE_BYTES of text in all, so rare languages are learnt.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common, ngrams, sampling
 
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 1000
 SAMPLE_BYTES = 16 << 20
 BITS = 16
 SIZES = (1, 2, 3, 4)
@@ -31,7 +31,7 @@ UNKNOWN = "und"
 
 def gram_counts(texts: list[bytes | None], counts: np.ndarray) -> None:
     """Adds the n-grams of the texts to one row of the count matrix."""
-    data, _ = ngrams.spaced_words(texts)
+    data = ngrams.code_points(ngrams.spaced_words(texts)[0])
     for _, bucket in ngrams.gram_buckets(data, SIZES, BITS):
         counts += np.bincount(bucket, minlength=1 << BITS)
 
@@ -52,6 +52,7 @@ def train(sample: list[tuple[bytes, str]]) -> dict[str, Any]:
 def likelihoods(texts: list[bytes | None], model: dict[str, Any]) -> np.ndarray:
     """Log-likelihood of every language (row) for every text (column)."""
     data, words = ngrams.spaced_words(texts)
+    data = ngrams.code_points(data)
     spaces = np.append(np.flatnonzero(data == 32), [len(data)]) if len(data) else np.zeros(1, np.int64)
     ends = spaces[np.minimum(np.cumsum(words), len(spaces) - 1)]  # a text's n-grams start before the next text's first space
     sizes = np.diff(ends, prepend=0)
@@ -80,10 +81,10 @@ def predict(texts: list[bytes | None], model: dict[str, Any]) -> dict[str, list]
 
 
 def sample_texts(docs: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
-    """(text, y) of the first `rows` documents with a language in the order of a hash of the id, up to most_bytes; y: the language."""
+    """(text, y) of the first `rows` documents of each language in the order of a hash of the id, up to most_bytes; y: the language."""
     usable = docs.select("doc_id", "text", F.col("lang").alias("y")).where("doc_id IS NOT NULL AND lang IS NOT NULL")
-    ids = sampling.first_by_hash(usable.select("doc_id").where(common.fold("doc_id", 4) != 2), rows).distinct()
-    return sampling.texts_of(usable, ids, most_bytes)
+    ids = sampling.first_of_each(usable.select("doc_id", "y").where(common.fold("doc_id", 4) != 2), rows)
+    return sampling.texts_of(usable, ids.select("doc_id").distinct(), most_bytes)
 
 
 def identified(docs: DataFrame, model: dict[str, Any], columns: list[str]) -> DataFrame:

@@ -7,12 +7,16 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
 
 
+#: Rows of a table of classes and counts up to which it is sent to all tasks.
+MOST_BROADCAST = 10_000
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, per_class: int, most_bytes: int, classes: Sequence[int] = (0, 1)) -> DataFrame:
     """(text, label) of at most per_class labelled documents of each class and most_bytes of text in all, as fitting() says.
 
@@ -42,6 +46,16 @@ def first_by_hash(rows: DataFrame, n: int) -> DataFrame:
     return rows.orderBy(*order).limit(n)
 
 
+def first_of_each(rows: DataFrame, n: int) -> DataFrame:
+    """The first n rows of each y in the order of a hash of doc_id; of a frequent y only the lowest hashes, some 4 n, are ordered."""
+    h = F.xxhash64("doc_id")
+    share = (F.lit(4.0 * n) / F.col("total")) * F.lit(float(1 << 64)) - F.lit(float(1 << 63))
+    totals = common.checkpointed(rows.groupBy("y").agg(F.count(F.lit(1)).alias("total")))
+    low = rows.join(F.broadcast(totals) if totals.count() <= MOST_BROADCAST else totals, "y").where((F.col("total") <= 8 * n) | (h.cast("double") < share))
+    nth = F.row_number().over(Window.partitionBy("y").orderBy(h, "doc_id"))
+    return low.withColumn("nth", nth).where(F.col("nth") <= n).select("doc_id", "y")
+
+
 def texts_of(docs: DataFrame, ids: DataFrame, most_bytes: int) -> DataFrame:
     """(text, y) of a bounded table of ids with y, or of rows that have y themselves; one text an id, up to most_bytes in all."""
     own = "y" in docs.columns
