@@ -1,7 +1,8 @@
 """Line-first quality rules.
 
-Every line of a text is held against punctuation, navigation and boilerplate rules; failing lines are removed, and a
-document that loses more than half of its words, or that fails the base counts, is rejected.
+Every line of a text is held against punctuation, navigation and boilerplate rules: runs of marks, separators, short
+lines that open like a menu entry, that break off, or that are a word or two without an end (in any language), and
+fixed phrases. Failing lines are removed, and a document that loses more than half of its words, or that fails the base counts, is rejected.
 
 Defined results: a null or empty text has no words, no lines and fails the base rule (fewer than ten words); lines
 without a word are neither judged nor removed; repeated rows are judged one by one; other columns are not read.
@@ -25,9 +26,14 @@ SYMBOLS = "#*$%&|<>"
 MARKS = r"[#*$%&|<>~^=_]{2,}|[!?]{2,}"
 #: A separator standing between menu entries.
 SEPARATOR = r"(?:^|[\x20\x09])(?:\||>|>>|/|»|·|•)(?:[\x20\x09]|$)"
-#: A short line that opens like a menu entry.
-MENU = r"(?i)^[\x20\x09]*(?:home|menu|log ?in|sign (?:in|up)|search|next|previous|skip to|back to top|read more|click here|share this|follow us)\b"
-BOILERPLATE = r"(?i)cookie policy|privacy policy|terms of (?:use|service)|all rights reserved|subscribe to our|newsletter|enable javascript|lorem ipsum|released under the|licensed under the|spdx-license-identifier"
+#: A line whose end shows that its text goes on elsewhere.
+TORN = r"(?:\.\.\.|…|»|>>|\[[^\]]{1,12}\])[\x20\x09\r]*$"
+#: The end of a sentence, heading or list item, closing quotes and brackets after it; and how few words may do without.
+ENDED = r"[.!?:;,。！？)\]}\x22'”’]+[\x20\x09\r]*$"
+FRAGMENT_WORDS = 2
+#: A short line that opens like a menu entry, in the languages that are told apart most often.
+MENU = r"(?i)^[\x20\x09]*(?:home|menu|log ?in|sign (?:in|up)|search|next|previous|skip to|back to top|read more|click here|share this|follow us|startseite|anmelden|suche|weiterlesen|mehr erfahren|teilen|accueil|connexion|rechercher|lire la suite|en savoir plus|suivant|partager|inicio|iniciar|buscar|siguiente|anterior|leer más|compartir)\b"
+BOILERPLATE = r"(?i)cookie policy|privacy policy|terms of (?:use|service)|all rights reserved|subscribe to our|newsletter|enable javascript|lorem ipsum|released under the|licensed under the|spdx-license-identifier|datenschutzerkl|alle rechte vorbehalten|allgemeine geschäftsbedingungen|mentions légales|tous droits réservés|politique de confidentialité|todos los derechos reservados|política de privacidad|aviso legal"
 MENU_WORDS = 6
 
 SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, n_lines_removed long, n_words_removed long, clean_text string"
@@ -52,6 +58,7 @@ class LineRules:
         self.word = re.compile(r"[^\x20\x09-\x0D]+")
         self.marks, self.separator = re.compile(MARKS), re.compile(SEPARATOR)
         self.menu, self.boilerplate = re.compile(MENU), re.compile(BOILERPLATE)
+        self.torn, self.ended = re.compile(TORN), re.compile(ENDED)
 
     def fails(self, line: str, n_words: int) -> bool:
         if 4 * len(self.marks.findall(line)) > n_words:
@@ -59,7 +66,9 @@ class LineRules:
         separators = len(self.separator.findall(line))
         if separators >= 2 and 4 * separators >= n_words:
             return True
-        if n_words <= MENU_WORDS and self.menu.search(line):
+        if n_words <= MENU_WORDS and (self.menu.search(line) or self.torn.search(line)):
+            return True
+        if n_words <= FRAGMENT_WORDS and not self.ended.search(line):
             return True
         return self.boilerplate.search(line) is not None
 
@@ -105,6 +114,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_first_quality(common.table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+ENDED_SQL = ENDED.replace("'", "''")
+
 ORACLE_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
@@ -122,7 +133,8 @@ judged AS (
   SELECT r, n, row_number() OVER (PARTITION BY r, line ORDER BY k) > 1 AS dup,
     4 * len(regexp_extract_all(line, '{MARKS}')) > n
     OR (len(regexp_extract_all(line, '{SEPARATOR}')) >= 2 AND 4 * len(regexp_extract_all(line, '{SEPARATOR}')) >= n)
-    OR (n <= {MENU_WORDS} AND regexp_matches(line, '{MENU}'))
+    OR (n <= {MENU_WORDS} AND (regexp_matches(line, '{MENU}') OR regexp_matches(line, '{TORN}')))
+    OR (n <= {FRAGMENT_WORDS} AND NOT regexp_matches(line, '{ENDED_SQL}'))
     OR regexp_matches(line, '{BOILERPLATE}') AS bad
   FROM ln WHERE n > 0
 ),
