@@ -3,7 +3,7 @@
 import pytest
 
 from tidemark.sources import registry as reg
-from tidemark.sources.tables import Tables, scan
+from tidemark.sources.tables import Tables, scan, without_forbidden
 
 LIVE = {"user": ["id", "Email", "password", "timemodified"], "sessions": ["id", "sid", "value"], "config": ["id", "value"], "message": ["id", "fullmessage", "timecreated"], "local_x": ["id", "code", "secret"]}
 
@@ -69,3 +69,18 @@ def test_windows_are_checked(first, last):
 
     with pytest.raises(ValueError):
         capture.requested(["user"], {"user"}, first, last)
+
+
+def test_codes_and_further_columns_never_leave(spark):
+    df = spark.createDataFrame([(1, "C", "n", "t")], "id long, code string, name string, tax string")
+    tables = Tables(spark, frames={"local_shop_coupons": df, "other": df}, by_table={"other": ("tax",)})
+    overrides = [reg.Override("coupons", discovered=True, custom_table="local_shop_coupons"), reg.Override("asked", custom_table="local_shop_coupons", custom_columns="id,code,name"), reg.Override("more", custom_table="other")]
+    made = reg.effective({}, overrides, tables.live, by_table=tables.by_table)
+    assert {n: tables_of(tables, e) for n, e in made.items()} == {"coupons": ["id", "name", "tax"], "asked": ["id", "name"], "more": ["id", "code", "name"]}
+    raw = reg.merged({}, overrides, tables.live)  # a scan holds them back by itself
+    assert "code" not in tables_of(tables, raw["coupons"]) and "tax" not in tables_of(tables, raw["more"])
+    assert without_forbidden(df, raw["coupons"]).columns == ["id", "name", "tax"]
+
+
+def tables_of(tables, entity):
+    return scan(tables, entity).columns

@@ -67,6 +67,8 @@ FORBIDDEN_COLUMNS = (
     "authtoken",
 )
 FORBIDDEN_TABLE_COLUMNS = {"user_private_key": ("value",), "sessions": ("sid",)}
+#: The same for tables whose name ends so, whatever component they belong to: codes that are worth money.
+FORBIDDEN_SUFFIX_COLUMNS = {"_coupons": ("code",)}
 MESSAGE_COLUMNS = ("fullmessage", "fullmessagehtml", "smallmessage")
 MESSAGE_ENTITIES = ("messages", "message")
 
@@ -146,7 +148,9 @@ def resolved(entity: Entity, live: Live) -> Resolved | None:
 
 def forbidden_for(entity: Entity, bodies: bool = False, by_table: Mapping[str, Iterable[str]] = FORBIDDEN_TABLE_COLUMNS) -> set[str]:
     """Lower-case names of the columns that an entity never exports."""
-    out = set(FORBIDDEN_COLUMNS) | {c.lower() for t, cs in by_table.items() if t.lower() == entity.table.lower() for c in cs}
+    table = entity.table.lower()
+    out = set(FORBIDDEN_COLUMNS) | {c.lower() for t, cs in by_table.items() if t.lower() == table for c in cs}
+    out |= {c for end, cs in FORBIDDEN_SUFFIX_COLUMNS.items() if table.endswith(end) for c in cs}
     return out | (set(MESSAGE_COLUMNS) if entity.name in MESSAGE_ENTITIES and not bodies else set())
 
 
@@ -182,9 +186,9 @@ def merged(registry: Mapping[str, Entity], overrides: Iterable[Override], live:
     return out
 
 
-def effective(registry: Mapping[str, Entity], overrides: Iterable[Override], live: Live, bodies: bool = False) -> dict[str, Entity]:
+def effective(registry: Mapping[str, Entity], overrides: Iterable[Override], live: Live, bodies: bool = False, by_table: Mapping[str, Iterable[str]] = FORBIDDEN_TABLE_COLUMNS) -> dict[str, Entity]:
     """What is exported: overrides merged, then forbidden columns taken out, so that no override brings one back."""
-    return stripped(merged(registry, overrides, live), live, bodies)
+    return stripped(merged(registry, overrides, live), live, bodies, by_table)
 
 
 def discovered(tables: Iterable[str], prefixes: Iterable[str], root: str = "local_") -> list[str]:

@@ -13,10 +13,14 @@ from tidemark.sources import registry as reg
 
 
 class Tables:
-    """Readable tables: Parquet files in a folder, or DataFrames by name."""
+    """Readable tables: Parquet files in a folder, or DataFrames by name.
 
-    def __init__(self, spark: SparkSession, folder: str | None = None, frames: Mapping[str, DataFrame] | None = None):
+    by_table: further columns by table that no scan of these tables lets out, beside those of the registry.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str | None = None, frames: Mapping[str, DataFrame] | None = None, by_table: Mapping[str, Iterable[str]] | None = None):
         self.spark, self.folder, self.frames = spark, folder, dict(frames or {})
+        self.by_table = {**reg.FORBIDDEN_TABLE_COLUMNS, **{t: (*reg.FORBIDDEN_TABLE_COLUMNS.get(t, ()), *cs) for t, cs in (by_table or {}).items()}}
         self._live: dict[str, list[str] | None] = {}
 
     def read(self, name: str) -> DataFrame:
@@ -44,7 +48,7 @@ def scan(tables: Tables, entity: reg.Entity, where: Column | None = None, bodies
     """The entity's rows; None where the table or the key is missing. Filter and columns reach the files."""
     if tables.live(entity.table) is None:
         return None
-    safe = reg.stripped({entity.name: entity}, tables.live, bodies)[entity.name]
+    safe = reg.stripped({entity.name: entity}, tables.live, bodies, tables.by_table)[entity.name]
     columns = safe.columns if safe.columns is not None else tuple(tables.live(entity.table) or ())
     have, _ = reg.intersected(columns, tables.live(entity.table) or [])
     if key.lower() not in {c.lower() for c in have}:
@@ -54,9 +58,9 @@ def scan(tables: Tables, entity: reg.Entity, where: Column | None = None, bodies
     return rows.select(*have)
 
 
-def without_forbidden(rows: DataFrame, entity: reg.Entity, bodies: bool = False) -> DataFrame:
+def without_forbidden(rows: DataFrame, entity: reg.Entity, bodies: bool = False, by_table: Mapping[str, Iterable[str]] = reg.FORBIDDEN_TABLE_COLUMNS) -> DataFrame:
     """The same guard for whole rows fetched elsewhere."""
-    never = reg.forbidden_for(entity, bodies)
+    never = reg.forbidden_for(entity, bodies, by_table)
     return rows.select(*[c for c in rows.columns if c.lower() not in never])
 
 
