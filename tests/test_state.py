@@ -60,6 +60,37 @@ def test_backfill_goes_on_where_it_stopped(spark, tmp_path):
     assert partial["done"] == {"b": 1} and "complete" not in partial
 
 
+def test_refused_for_good(spark, tmp_path):
+    df = spark.range(10).toDF("id")
+    registry = {"a": reg.Entity("a", "a")}
+    doc, taken, ends = state.Document(spark, f"file://{tmp_path}/s"), [], []
+
+    def take(rows, _):
+        ids = [r.id for r in rows.collect()]
+        if 4 in ids:
+            raise state.Refused
+        taken.extend(ids)
+        return True
+
+    out = state.Backfill(Tables(spark, frames={"a": df}), registry, doc, 3).run(take, ends.append)
+    assert sorted(taken) == [0, 1, 2, 6, 7, 8, 9] and out["refused"] == {"a": 3} and out["complete"] == 1 and len(ends) == 1
+    assert len([p for p in (tmp_path / "s").iterdir() if p.name.startswith("v-")]) <= state.VERSIONS and doc.read()["refused"] == {"a": 3}
+
+
+def test_late_rows_and_nobody_on_a_stream(spark, tmp_path):
+    """A row of an earlier window, late but within the watermark, counts there; ids of 0 or less always pass."""
+    first = [(1, 70), (1, 71), (1, 72), (0, 70), (0, 70), (0, 70), (None, 70)]
+    second = [(1, 50), (1, 51), (1, 52), (1, 73)]
+    for i, rows in enumerate((first, second)):
+        spark.createDataFrame(rows, "user long, s long").select("user", F.timestamp_seconds("s").alias("at")).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/in/{i}")
+    stream = spark.readStream.schema("user long, at timestamp").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"file://{tmp_path}/in")
+    name = f"t{uuid.uuid4().hex}"
+    q = ship.limited(stream, "user", "at", 2).writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", f"file://{tmp_path}/cp").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = sorted((r.user or 0, r.s) for r in spark.table(name).select("user", F.unix_seconds("at").alias("s")).collect())
+    assert got == [(0, 70)] * 4 + [(1, 50), (1, 51), (1, 70), (1, 71)]
+
+
 def test_room():
     assert state.has_room(5, 10, lambda: 99) and state.has_room(9, 10, lambda: 4) and not state.has_room(9, 10, lambda: 6)
 
@@ -102,6 +133,7 @@ def test_stream_ships_once(spark, tmp_path):
         ship.ship(*args).awaitTermination()
         out = [p for p in (tmp_path / "out").rglob("*.gz") if p.is_file()]
         lines = [x for p in out for x in gzip.open(p, "rt", encoding="utf-8", newline="\n").read().split("\n") if x]
+        assert len(out) == 1 and str(out[0].relative_to(tmp_path / "out")).startswith(f"events/me/2026/08/04/batch-{us}-2-") and not list((tmp_path / "out").glob("_staging*"))
         assert sorted(lines) == sorted([json.dumps({"site_id": "me", "n": i, "t": "a\u0085b"}, ensure_ascii=False) for i in range(3)] + ["not json"])
     assert ship.ship(spark, "x", "y", "z", "") is None and ship.ship(*args, gates=lambda: False) is None
 

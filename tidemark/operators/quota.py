@@ -4,16 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 GLOBAL_FACTOR = 10
 
 
 def per_key(rows: DataFrame, key: str, window: Column, order: list[str], most: int) -> DataFrame:
-    """The first `most` rows of a key in each window; all of them if most is 0. Spark limits before it shuffles."""
+    """The first `most` rows of a key in each window; all of them if most is 0. Spark limits before it shuffles.
+
+    A key that names nobody, null or a number of 0 or less, isn't limited.
+    """
     if most <= 0:
         return rows
+    nobody = named_by_nobody(rows, key)
     nth = F.row_number().over(Window.partitionBy(key, "_window").orderBy(*order))
-    return rows.withColumn("_window", window).withColumn("_nth", nth).where(F.col("_nth") <= most).drop("_nth", "_window")
+    few = rows.where(~nobody).withColumn("_window", window).withColumn("_nth", nth).where(F.col("_nth") <= most).drop("_nth", "_window")
+    return few.unionByName(rows.where(nobody))
+
+
+def named_by_nobody(rows: DataFrame, key: str) -> Column:
+    """Whether a row's key is null or, for numbers, 0 or less."""
+    none = F.col(key).isNull()
+    return none | (F.col(key) <= 0) if isinstance(rows.schema[key].dataType, NumericType) else none
 
 
 def two_levels(rows: DataFrame, key: str, window: Column, order: list[str], most: int, factor: int = GLOBAL_FACTOR) -> DataFrame:

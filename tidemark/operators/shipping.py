@@ -41,18 +41,17 @@ def planned(files: DataFrame, most: int = BATCH_BYTES) -> DataFrame:
     """
     most = max(1, most)
     listed = files.groupBy("datebucket").agg(F.array_sort(F.collect_list(F.struct("ord", "path", F.col("size").cast("long").alias("size")))).alias("fs"))
-    start = F.struct(F.lit(0).cast("long").alias("no"), F.lit(0).cast("long").alias("used"), F.array().cast("array<struct<no:bigint,path:string>>").alias("out"))
+    start = F.struct(F.lit(0).cast("long").alias("no"), F.lit(0).cast("long").alias("used"), F.array().cast("array<bigint>").alias("nos"))
 
     def add(state: Column, f: Column) -> Column:
-        # A batch that holds only empty files is still open, so emptiness is told by the list.
-        has = F.size(F.filter(state["out"], lambda o: o["no"] == state["no"])) > 0
-        opens = (state["no"] == 0) | (has & (state["used"] + f["size"] > most))
+        # Every batch that is open has a file, so the first file alone opens one without regard to the size.
+        opens = (state["no"] == 0) | (state["used"] + f["size"] > most)
         no = F.when(opens, state["no"] + 1).otherwise(state["no"])
-        return F.struct(no.alias("no"), F.when(opens, f["size"]).otherwise(state["used"] + f["size"]).alias("used"), F.concat(state["out"], F.array(F.struct(no.alias("no"), f["path"].alias("path")))).alias("out"))
+        return F.struct(no.alias("no"), F.when(opens, f["size"]).otherwise(state["used"] + f["size"]).alias("used"), F.concat(state["nos"], F.array(no)).alias("nos"))
 
-    folded = listed.select("datebucket", F.explode(F.aggregate("fs", start, add, lambda s: s["out"])).alias("o"), "fs")
-    pos = folded.select("datebucket", F.col("o.no").alias("batch_no"), F.col("o.path").alias("path"), F.array_position(F.transform("fs", lambda x: x["path"]), F.col("o.path")).alias("at"))
-    return pos.groupBy("datebucket", "batch_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "path"))), lambda x: x["path"]).alias("paths"))
+    dealt = F.arrays_zip(F.transform("fs", lambda f: f["path"]).alias("path"), F.aggregate("fs", start, add, lambda s: s["nos"]).alias("no"))
+    each = listed.select("datebucket", F.posexplode(dealt).alias("at", "o")).select("datebucket", F.col("o.no").alias("batch_no"), "at", F.col("o.path").alias("path"))
+    return each.groupBy("datebucket", "batch_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "path"))), lambda x: x["path"]).alias("paths"))
 
 
 def object_key(prefix: str, site_id: str, datebucket: Column, names: Column, created_us: Column) -> Column:

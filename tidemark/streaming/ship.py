@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import timefmt
-from tidemark.operators import records, shipping
+from tidemark.operators import quota, records, shipping
 
 
 def buffer_stream(spark: SparkSession, folder: str, files_a_batch: int = shipping.FILES_A_RUN, clean: str | None = None) -> DataFrame:
@@ -38,16 +39,40 @@ def packed(lines: DataFrame, site_id: str, prefix: str = "events", most: int = s
     return kept.join(keys, "path").select("object_key", "path", "line")
 
 
-def write_objects(batch: DataFrame, folder: str) -> None:
-    """Each object in a folder of its name, gzip; the same files make the same names, so a retry overwrites."""
-    out = batch.select("object_key", "line").repartition("object_key")
+def write_objects(batch: DataFrame, folder: str) -> list[str]:
+    """Each object as one gzip file at its key below the folder; the same files make the same keys, so a retry overwrites.
+
+    The objects of a run, FILES_A_RUN at most, are written beside each other and renamed to their keys one by one, so
+    that a key never holds part of an object.
+    """
     spark = batch.sparkSession
-    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    staging = f"{folder.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    held = batch.select(F.sha2("object_key", 256).alias("tag"), "object_key", "line").persist()
     try:
-        out.write.mode("overwrite").partitionBy("object_key").option("compression", "gzip").text(folder)
+        keys = {r.tag: r.object_key for r in held.select("tag", "object_key").distinct().collect()}
+        held.select("tag", "line").repartition("tag").write.partitionBy("tag").option("compression", "gzip").text(staging)
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        held.unpersist()
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(staging).getFileSystem(spark._jsc.hadoopConfiguration())
+    for tag, key in keys.items():
+        (part,) = [s.getPath() for s in files.listStatus(path(f"{staging}/tag={tag}")) if s.getPath().getName().startswith("part-")]
+        to = path(f"{folder.rstrip('/')}/{key}")
+        files.mkdirs(to.getParent())
+        files.delete(to, False)
+        if not files.rename(part, to):
+            raise OSError(f"{key} couldn't be put in its place")
+    files.delete(path(staging), True)
+    return sorted(keys.values())
+
+
+def _shipped(lines: DataFrame, site_id: str, target: str) -> None:
+    """One batch: read once, packed and written."""
+    lines = lines.persist()
+    try:
+        write_objects(packed(lines, site_id), target)
+    finally:
+        lines.unpersist()
 
 
 def ship(spark: SparkSession, source: str, target: str, checkpoint: str, site_id: str, gates: Callable[[], bool] = lambda: True, once: bool = True, clean: str | None = None) -> StreamingQuery | None:
@@ -58,7 +83,7 @@ def ship(spark: SparkSession, source: str, target: str, checkpoint: str, site_id
     if not site_id or not gates():
         return None
     stream = buffer_stream(spark, source, clean=clean)
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, _: write_objects(packed(df, site_id), target))
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, _: _shipped(df, site_id, target))
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="60 seconds")).start()
 
 
@@ -68,31 +93,41 @@ def once_each(messages: DataFrame, key: str = "id", at: str = "at", seconds: int
 
 
 def limited(events: DataFrame, key: str, at: str, most: int, seconds: int = 60) -> DataFrame:
-    """Rate limit on a stream by key, in tumbling windows, with state that leaves with its window."""
+    """Rate limit on a stream by key, in tumbling windows: the first `most` rows of a key in each, as they come.
+
+    The state counts by window, so late rows are held against the window they belong to; a count goes when the watermark
+    has passed its window. Keys that name nobody aren't limited, nor is anything if most is 0.
+    """
     from collections.abc import Iterator
 
     import pandas as pd
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+    if most <= 0:
+        return events
+
     def allow(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        window, used = state.get if state.exists else (-1, 0)
-        for pdf in parts:
+        passed = state.getCurrentWatermarkMs() // 1000
+        used = dict(zip(*state.get, strict=True)) if state.exists else {}
+        for pdf in [] if state.hasTimedOut else parts:
             pdf = pdf.sort_values(at, kind="stable")
-            no = pdf[at].astype("int64") // (seconds * 10**9) if str(pdf[at].dtype).startswith("datetime64[ns") else pdf[at].map(lambda t: int(t.timestamp()) // seconds)
             keep = []
-            for w in no:
-                if w > window:
-                    window, used = int(w), 0
-                keep.append(w == window and used < most)
-                used += keep[-1]
+            for w in pdf[at].map(lambda t: int(t.timestamp()) // seconds).tolist():
+                keep.append(used.get(w, 0) < most)
+                used[w] = used.get(w, 0) + keep[-1]
             yield pdf[keep]
-        state.update((window, used))
-        state.setTimeoutTimestamp(max((window + 1) * seconds * 1000, state.getCurrentWatermarkMs() + 1))
+        used = {w: n for w, n in used.items() if (w + 1) * seconds > passed}
+        if not used:
+            if state.exists:
+                state.remove()
+            return
+        state.update((list(used), list(used.values())))
+        state.setTimeoutTimestamp(max((min(used) + 1) * seconds * 1000, state.getCurrentWatermarkMs() + 1))
 
-    return events.withWatermark(at, f"{seconds} seconds").groupBy(key).applyInPandasWithState(allow, events.schema, "window long, used long", "append", GroupStateTimeout.EventTimeTimeout)
+    nobody = quota.named_by_nobody(events, key)
+    some = events.where(~nobody).withWatermark(at, f"{seconds} seconds").groupBy(key)
+    few = some.applyInPandasWithState(allow, events.schema, "windows array<long>, used array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+    return few.unionByName(events.where(nobody))
 
 
 def day_of(path: Column) -> Column:

@@ -15,6 +15,14 @@ from tidemark.sources import registry as reg
 from tidemark.sources.tables import Tables, scan
 
 
+#: Versions of a document that are kept.
+VERSIONS = 5
+
+
+class Refused(Exception):
+    """A sink will never take these rows: they are counted and passed over."""
+
+
 class Document:
     """A JSON document that is replaced as a whole; versions are written beside each other and the newest that reads well counts."""
 
@@ -41,8 +49,17 @@ class Document:
     def write(self, body: Mapping) -> None:
         known = self._versions()
         last = known.agg(F.max("version")).first()[0] if known is not None else None
-        row = [((last or 0) + 1, json.dumps(body, sort_keys=True))]
-        self.spark.createDataFrame(row, "version long, body string").coalesce(1).write.mode("append").json(f"{self.folder}/v-{uuid.uuid4().hex}")
+        version = (last or 0) + 1
+        self.spark.createDataFrame([(version, json.dumps(body, sort_keys=True))], "version long, body string").coalesce(1).write.mode("append").json(f"{self.folder}/v-{version:012d}-{uuid.uuid4().hex}")
+        self._prune()
+
+    def _prune(self) -> None:
+        """Versions older than the newest VERSIONS go."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        old = sorted((s.getPath() for s in files.listStatus(path) if s.getPath().getName().startswith("v-")), key=lambda p: p.getName())
+        for p in old[:-VERSIONS]:
+            files.delete(p, True)
 
 
 @dataclass
@@ -108,6 +125,7 @@ class Backfill:
         """Goes through entities that aren't done; `finish` (catalog and census) runs once, when all are, in a whole run.
 
         A sink that refuses, or a buffer without room, stops the entity where it is: stopped isn't the same as finished.
+        Rows that it refuses for good (Refused) are counted under "refused" and passed over.
         """
         s = self.state.read()
         s.setdefault("batch", str(uuid.uuid4()))
@@ -131,13 +149,22 @@ class Backfill:
             rows = scan(self.tables, e, F.col("id") > F.lit(marks.get(name, -1)))
             if rows is None:
                 break
-            page = rows.orderBy("id").limit(self.chunk)
-            last = page.agg(F.max("id")).first()[0]
-            if last is None:
-                break
-            if not room() or not sink(page, e):
-                self.state.write(s)
-                return False
+            page = rows.orderBy("id").limit(self.chunk).persist()  # read once for the mark and the sink
+            try:
+                last, n = page.agg(F.max("id"), F.count(F.lit(1))).first()
+                if last is None:
+                    break
+                try:
+                    taken = room() and sink(page, e)
+                except Refused:
+                    refused = s.setdefault("refused", {})
+                    refused[name] = refused.get(name, 0) + n
+                    taken = True
+                if not taken:
+                    self.state.write(s)
+                    return False
+            finally:
+                page.unpersist()
             marks[name] = last
             self.state.write(s)
         s.setdefault("done", {})[name] = 1
