@@ -1,5 +1,6 @@
 """Every query of the catalog against its SQL at the smallest size, and invariants of operators."""
 
+import json
 import random
 
 import duckdb
@@ -159,3 +160,22 @@ def test_media_off_drops_beacons(spark):
     m, p = dwell.validated(df, "now", media=True).orderBy("record_type").collect()
     assert (m.page, m.timespent_ms, m.started_at, len(m.url), m.media_kind, m.media_pos_sec, m.bucket_sec) == ("other", 0, "now", 1024, "video", 0, 1)
     assert (p.record_type, p.timespent_ms, p.url, p.media_kind) == ("page_dwell", 14_400_000, "", None)
+
+
+def test_nobody_is_not_limited(spark):
+    df = spark.createDataFrame([(k, i) for k in (0, -1, None, 5) for i in range(4)], "k long, i long")
+    got = sorted(((r.k is None), r.k or 0, r.i) for r in quota.per_key(df, "k", F.lit(1), ["i"], 2).collect())
+    assert [x[:2] for x in got] == [(False, -1)] * 4 + [(False, 0)] * 4 + [(False, 5)] * 2 + [(True, 0)] * 4
+
+
+def test_erasure_by_list_and_by_join(spark, monkeypatch):
+    lines = [(f"/b/events-{i % 3}.jsonl", json.dumps({"record_type": "event", "event_data": {"userid": i % 7, "relateduserid": (i * 5) % 11}})) for i in range(60)] + [("/b/x.jsonl", "not json"), ("/b/x.jsonl", "not json")]
+    df = spark.createDataFrame(lines, "path string, line string")
+    targets = spark.createDataFrame([(3,), (9,), (3,), (None,)], "userid long")
+    got = {}
+    for most in (1000, 1):
+        monkeypatch.setattr(privacy, "MOST_LISTED", most)
+        stay, counts = privacy.erased(df, targets)
+        got[most] = (sorted(map(tuple, stay.collect())), sorted(map(tuple, counts.collect())))
+    assert got[1000] == got[1] and 0 < len(got[1][0]) < len(lines)
+    assert "Exchange" not in privacy.erased(df, targets.limit(0))[0]._jdf.queryExecution().executedPlan().toString()

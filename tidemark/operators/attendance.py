@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import timefmt
-from tidemark.operators.records import latest
 
 SESSIONS_A_RUN = 50
 
@@ -38,14 +37,15 @@ def folded(instances: DataFrame, summed: bool = False) -> DataFrame:
         F.aggregate(joins, F.lit(0).cast("long"), lambda s, j: s + F.coalesce(j["duration"], F.lit(0))).alias("duration"),
         F.size(joins).alias("joins"),
     )
-    key = F.struct("sessionuid", "external_user_id")
-    one = one.withColumn("_key", key)
+    who = ("useruid", "role", "display_name")
+    what = ("first_join_time", "last_left_time", "duration", "joins")
     if summed:
-        last = F.struct("instance_no", "at", "useruid", "role", "display_name")
+        last = F.struct("instance_no", "at", *who)
         out = one.groupBy("sessionuid", "external_user_id").agg(F.max(last).alias("l"), F.min(F.nullif("first_join_time", F.lit(0))).alias("f"), F.max("last_left_time").alias("last_left_time"), F.sum("duration").alias("duration"), F.sum("joins").alias("joins"))
         out = out.select("sessionuid", "external_user_id", "l.useruid", "l.role", "l.display_name", F.coalesce("f", F.lit(0)).alias("first_join_time"), "last_left_time", "duration", "joins")
     else:
-        out = latest(one, "_key", F.desc("instance_no"), F.desc("at")).drop("_key", "instance_no", "at")
+        last = F.struct("instance_no", "at", *who, *what)  # the greatest is combined before the shuffle
+        out = one.groupBy("sessionuid", "external_user_id").agg(F.max(last).alias("l")).select("sessionuid", "external_user_id", *[F.col(f"l.{c}") for c in (*who, *what)])
     return out.withColumn("rejoins", F.greatest(F.col("joins") - 1, F.lit(0)).cast("long")).drop("joins")
 
 

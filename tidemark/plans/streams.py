@@ -312,7 +312,7 @@ def media_buckets(t: Tables) -> DataFrame:
 _DAY = "date_trunc('day', ts)"
 
 
-@query(f"SELECT event_id, user_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id, {_DAY} ORDER BY ts, event_id) <= 2")
+@query(f"SELECT event_id, user_id FROM events QUALIFY user_id IS NULL OR user_id <= 0 OR row_number() OVER (PARTITION BY user_id, {_DAY} ORDER BY ts, event_id) <= 2")
 def rate_limit_user(t: Tables) -> DataFrame:
     return quota.per_key(t.read("events"), "user_id", F.to_date("ts"), ["ts", "event_id"], 2).select("event_id", "user_id")
 
@@ -441,11 +441,11 @@ def byte_limits(t: Tables) -> DataFrame:
     return t.read("documents").select("doc_id", F.when(fits, (short != F.col("text")).cast("int")).alias("cut"), F.when(short == F.col("text"), short).alias("whole"))
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) AND c_acctbal > 0 AND c_acctbal <= 9000 ORDER BY c_acctbal, c_custkey LIMIT 50")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') AND c_acctbal > 0 AND c_acctbal <= 9000 ORDER BY c_acctbal, c_custkey LIMIT 50")
 def unsynced_sessions(t: Tables) -> DataFrame:
     sessions = t.read("customer").select(F.col("c_custkey").alias("uid"), "c_name", F.col("c_acctbal").alias("timeend"), F.col("c_custkey").alias("id"))
     sessions = sessions.withColumn("uid", F.col("uid").cast("string"))
-    markers = t.read("orders").select(F.col("o_custkey").cast("string").alias("sessionuid"))
+    markers = t.read("orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").cast("string").alias("sessionuid"))
     return attendance.unsynced(sessions, markers, 9000).select(F.col("id").alias("c_custkey"), "c_name")
 
 
