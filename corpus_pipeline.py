@@ -1,6 +1,11 @@
 """A corpus from raw documents to token ids, each stage by one operator of tidemark.llm.
 
 Every stage works on all that its predecessor kept, is written as Parquet and read again as the next one's documents.
+
+Defined results: a null text scores as the model's prior, is a near copy of other wordless texts only, loses nothing,
+isn't contaminated and encodes as an empty text; a row without id is kept or dropped like any other, but is no one's
+smallest id; of repeated rows one stays; further columns, whatever their names, pass through all stages but the last;
+empty tables give empty results. All but the last stage return the columns of documents.
 """
 
 from __future__ import annotations
@@ -52,8 +57,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; what lies between them is in the shared folder."""
     folder = f"{common.shared_folder(spark)}/tidemark-corpus-{uuid.uuid4().hex}"
-    docs = common.table(spark, sf_dir, "documents")
+    docs, before = common.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            common.removed(spark, before)  # what the next stage has been made of
+        before = f"{folder}/{name}"
     return docs
