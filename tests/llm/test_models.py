@@ -275,3 +275,31 @@ def test_bags_sums_as_loops():
     assert np.allclose(up, want)
     grad = np.random.default_rng(2).normal(size=up.shape)
     assert np.isclose((bags.down(grad) * v).sum(), (grad * up).sum())  # the adjoint
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    word = random.Random(31)
+    prose = lambda k: " ".join("".join(word.choice("abcdefghij") for _ in range(6)) for _ in range(k))
+    item, passage, long = prose(20), prose(60), prose(250_000)
+    texts = [(1, None), (2, ""), (3, long), (4, long), (5, prose(80) + " " + passage), (6, passage + " " + prose(90)), (7, item), (8, prose(400) + " " + item.upper()), (9, prose(50)), (9, None), (None, "alone"), (None, "alone")]
+    rows = [(i, t, "en", "s", len(t or ""), "x", 1, 2, "v") for i, t in texts]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, own string, fp int, spans int, verdict string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([("q", item), (None, None)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == [x.split()[0] for x in schema.split(", ")], name
+    kept = {r.doc_id: r for r in docs.collect()}
+    assert set(kept) == {1, 3, 5, 6, 8, 9, None}  # one wordless text, one copy; the item itself goes
+    assert passage not in kept[5].text and passage not in kept[6].text and kept[5].n_chars == len(kept[5].text)
+    assert item.upper() not in kept[8].text and kept[3].text == long and kept[1].text is None and kept[9].verdict == "v"
+    out = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert set(out) == set(kept) and out[1].n_tokens == 1 and len(out[3].ids) == len(out[3].starts) == out[3].n_tokens
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{tmp_path}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/none/{t}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
