@@ -39,8 +39,8 @@ def shipped(spark: SparkSession) -> None:
     context._tidemark_shipped = True
 
 
-#: Rows and bytes of an Arrow batch between the JVM and Python, unless the session names its own: texts are long rows.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+#: Bytes of an Arrow batch between the JVM and Python, unless the session names its own: texts are long rows.
+BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 def arrow_map(df: DataFrame, function, schema) -> DataFrame:
@@ -61,7 +61,6 @@ def arrow_map(df: DataFrame, function, schema) -> DataFrame:
 
 def release() -> None:
     """Gives freed memory back to the system, where its allocators can."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL("libc.so.6").malloc_trim(0)
