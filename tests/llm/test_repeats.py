@@ -75,6 +75,17 @@ def test_many_anchors_are_joined_to_their_texts(spark):
     check(spark, corpus(4), most_anchors=0, hot=2)
 
 
+@pytest.mark.parametrize("more", [{}, {"hot": 2}, {"most_anchors": 0}, {"most_anchors": 0, "hot": 2}])
+def test_long_windows_are_looked_for_where_short_ones_are(spark, more):
+    check(spark, corpus(5), by="both", **more)
+    check(spark, ["a" * 500, "b" * 300, "b" * 300, "", None], by="both", **more)
+
+
+def test_long_windows_of_texts_without_short_ones(spark):
+    rng = random.Random(8)
+    check(spark, ["".join(rng.choice("abcdefgh ") for _ in range(700)) for _ in range(3)], by="both")
+
+
 def test_many_windows_by_ranges_of_the_anchor(spark, monkeypatch):
     texts = [t.encode() for t in corpus(6)]
     contexts = sorted({t[at : at + 450 + at % 90] for t in texts for at in range(0, len(t) - 560, 37)})

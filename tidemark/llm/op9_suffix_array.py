@@ -24,6 +24,8 @@ Digits are 64-bit hashes. Texts are known by two 64-bit hashes and their length.
 
 Passages of over PASSAGE_WORDS words are mostly shorter than LENGTH bytes. They are found by the same sort through
 PASSAGE bytes, of whose covered runs only those of more words count: the query tells their number, the stage cuts them.
+Where both lengths are asked for, the shorter goes first: a repeated window consists of repeated shorter ones, so the
+longer is looked for only in texts whose shorter ones cover as much from the first to the last.
 
 Defined results: a null text counts as empty; texts shorter than LENGTH keep everything; repeated rows are copies of
 each other, so both lose everything; other columns are not read.
@@ -35,6 +37,7 @@ import hashlib
 import math
 import uuid
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -214,16 +217,19 @@ def batched_runs(texts: Sequence[bytes], length: int = LENGTH, gram: int = GRAM)
     return own, h[place[first]], place[first] - opens[own], start[first] - opens[own], start[last] - opens[own]
 
 
+KEY = ["k", "k2", "n"]
 TEXTS = ["text", "k", "k2"]
 RUNS = "h long, ext long, k long, k2 long, n int, first int, size int"
 CLASSES = "h long, ext long, before int, context binary"
 WINDOWS = "w1 long, w2 long, k long, k2 long, n int, first int"
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray, list[list[int]] | None]]:
-    """Texts, some together, with their hashes and, if given, their anchors; copies seen lately are passed over, as they have the same places."""
+def _texts(batches: Iterator[pa.RecordBatch], asked) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray, list[list[int]] | None]]:
+    """Texts that are asked for, some together, with their hashes and, if given, their anchors; copies seen lately are passed over, as they have the same places."""
     seen: set[tuple[int, int, int]] = set()
     for whole in batches:
+        if asked:
+            whole = whole.filter(pa.array(_has(asked.value, whole.column(1).to_numpy().view(np.uint64))))
         for a, b in common.chunks(whole.column(0), TOGETHER):
             rows = []
             for row in zip(*[c.to_pylist() for c in whole.slice(a, b - a).columns], strict=True):
@@ -238,11 +244,11 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.
                 yield list(texts), np.array(k, np.int64), np.array(k2, np.int64), own[0] if own else None
 
 
-def _run_scan(length: int, gram: int):
+def _run_scan(asked, length: int, gram: int):
     """Every run: its anchor, its class, its text, its first window and its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts, k, k2, _ in _texts(batches):
+        for texts, k, k2, _ in _texts(batches, asked):
             own, h, place, first, last = batched_runs(texts, length, gram)
             ext = [xxhash.xxh64_intdigest(texts[t][a:b], s) for t, a, b, s in zip(own.tolist(), first.tolist(), (last + length).tolist(), (place - first).tolist(), strict=True)]
             n = np.fromiter(map(len, texts), np.int32, len(texts))
@@ -267,10 +273,10 @@ def _place_scan(maps):
     return run
 
 
-def _wanted(maps, length: int, gram: int, way: str, batches: Iterator[pa.RecordBatch]):
+def _wanted(maps, asked, length: int, gram: int, way: str, batches: Iterator[pa.RecordBatch]):
     """(texts, k, k2, text, anchors, places, first and last windows) of the runs whose anchor has several classes and goes this way."""
     sent = maps.value
-    for texts, k, k2, anchors in _texts(batches):
+    for texts, k, k2, anchors in _texts(batches, asked):
         own, h, place, first, last = batched_runs(texts, length, gram)
         often = _has(sent["often"], h)
         crowded = often & _has(sent["crowded"], h)
@@ -285,7 +291,7 @@ def _wanted(maps, length: int, gram: int, way: str, batches: Iterator[pa.RecordB
             yield texts, k, k2, own[wanted], h[wanted], place[wanted], first[wanted], last[wanted]
 
 
-def _class_scan(maps, length: int, gram: int, way: str):
+def _class_scan(maps, asked, length: int, gram: int, way: str):
     """The classes of a task, each once, with its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +303,7 @@ def _class_scan(maps, length: int, gram: int, way: str):
             known.clear()
             return pa.RecordBatch.from_arrays([_signed(cols[0]), _signed(cols[1]), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.binary())], names=["h", "ext", "before", "context"])
 
-        for texts, _, _, own, h, place, first, last in _wanted(maps, length, gram, way, batches):
+        for texts, _, _, own, h, place, first, last in _wanted(maps, asked, length, gram, way, batches):
             for t, hv, left, x, y in zip(own.tolist(), h.tolist(), (place - first).tolist(), first.tolist(), (last + length).tolist(), strict=True):
                 context = texts[t][x:y]
                 known.setdefault((hv, xxhash.xxh64_intdigest(context, left)), (left, context))
@@ -309,11 +315,11 @@ def _class_scan(maps, length: int, gram: int, way: str):
     return run
 
 
-def _window_scan(maps, length: int, gram: int):
+def _window_scan(maps, asked, length: int, gram: int):
     """Every window of crowded anchors, by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts, k, k2, own, _, _, first, last in _wanted(maps, length, gram, "crowded", batches):
+        for texts, k, k2, own, _, _, first, last in _wanted(maps, asked, length, gram, "crowded", batches):
             opens = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (first[1:] != last[:-1] + 1))))
             for t, a, b in zip(own[opens].tolist(), first[opens].tolist(), last[np.append(opens[1:], len(last)) - 1].tolist(), strict=True):
                 for x in range(a, b + 1, 1 << 18):  # neighbouring runs together
@@ -389,12 +395,27 @@ def _bitmap(rows: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT, gram: int = GRAM, most_anchors: int = MOST_ANCHORS) -> DataFrame:
-    """(k, k2, n, start, stop) of repeated bytes, overlapping and unordered, for texts with columns text (binary), k, k2 and n."""
+def _bits(rows: int) -> int:
+    """Bits of the values that a bitmap of so many rows goes by: some sixteen bits for each row."""
+    return max(HOT_BITS, math.ceil(math.log2(16 * rows + 1)))
+
+
+def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT, gram: int = GRAM, most_anchors: int = MOST_ANCHORS, among: DataFrame | None = None) -> DataFrame:
+    """(k, k2, n, start, stop) of repeated bytes, overlapping and unordered, for texts with columns text (binary), k, k2 and n.
+
+    among: the keys (k, k2, n) of all texts that may have any, where that is known; each once.
+    """
     spark = texts.sparkSession
     folder = f"{common.shared_folder(spark)}/tidemark-repeats-{uuid.uuid4().hex}"
-    long = texts.where(F.col("n") >= length).select(*TEXTS)
-    common.arrow_map(long, _run_scan(length, gram), RUNS).write.option("compression", "zstd").parquet(f"{folder}/runs")
+    long, asked = texts.where(F.col("n") >= length).select(*TEXTS), None
+    if among is not None:
+        keys = among.count()
+        if keys <= most_anchors:  # as with the first digit, a false positive costs a text's scan
+            asked = spark.sparkContext.broadcast(_bitmap(among.select(F.col("k").alias("h")), _bits(keys)))
+        else:
+            long.join(among.select("k", "k2"), ["k", "k2"], "left_semi").select(*TEXTS).write.parquet(f"{folder}/among")
+            long = spark.read.parquet(f"{folder}/among")
+    common.arrow_map(long, _run_scan(asked, length, gram), RUNS).write.option("compression", "zstd").parquet(f"{folder}/runs")
     seen = spark.read.schema(RUNS).parquet(f"{folder}/runs")
     twice = seen.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("ext").alias("a"), F.max("ext").alias("b")).where("c > 1").select("h", "c", (F.col("a") != F.col("b")).alias("rivals"))
     twice = common.checkpointed(twice)
@@ -406,7 +427,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT, gram:
         sent["crowded"] = _bitmap(classes_of.where(F.col("count") > hot).select("h"), HOT_BITS)
     places = seen
     if known <= most_anchors:
-        bits = max(HOT_BITS, math.ceil(math.log2(16 * known + 1)))
+        bits = _bits(known)
         sent |= {"twice": _bitmap(twice, bits), "rivals": _bitmap(twice.where("rivals"), bits)}
         maps = spark.sparkContext.broadcast(sent)
         places = common.arrow_map(seen, _place_scan(maps), RUNS)
@@ -416,23 +437,22 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT, gram:
         own = seen.join(twice.where("rivals").select("h"), "h").groupBy("k", "k2").agg(F.collect_set("h").alias("own"))
         long.join(own, ["k", "k2"]).select(*TEXTS, "own").write.parquet(f"{folder}/texts")
         long = spark.read.parquet(f"{folder}/texts")
-    classes = common.arrow_map(long, _class_scan(maps, length, gram, "few"), CLASSES)
+    classes = common.arrow_map(long, _class_scan(maps, asked, length, gram, "few"), CLASSES)
     if often.any():
-        more = common.arrow_map(long, _class_scan(maps, length, gram, "often"), CLASSES)
+        more = common.arrow_map(long, _class_scan(maps, asked, length, gram, "often"), CLASSES)
         classes = classes.unionByName(more.groupBy("h", "ext").agg(F.min("before").alias("before"), F.min("context").alias("context")))
     found = common.arrow_map(classes.repartition("h").sortWithinPartitions("h", "ext"), _resolve(length), FOUND)
     place = F.xxhash64("k", "k2", "n", "first")
     whole = places.groupBy("h", "ext").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max("size").alias("size")).where("a <> b")
     found = found.unionByName(whole.select("h", "ext", F.expr("array(named_struct('start', 0, 'stop', size))").alias("covered")))
-    text = ("k", "k2", "n")
-    each = places.join(found, ["h", "ext"]).select(*text, "first", F.explode("covered").alias("c"))
-    spans = each.select(*text, (F.col("first") + F.col("c.start")).alias("start"), (F.col("first") + F.col("c.stop")).alias("stop"))
+    each = places.join(found, ["h", "ext"]).select(*KEY, "first", F.explode("covered").alias("c"))
+    spans = each.select(*KEY, (F.col("first") + F.col("c.start")).alias("start"), (F.col("first") + F.col("c.stop")).alias("stop"))
     if sent["crowded"].any():
-        common.arrow_map(long, _window_scan(maps, length, gram), WINDOWS).write.parquet(f"{folder}/windows")
+        common.arrow_map(long, _window_scan(maps, asked, length, gram), WINDOWS).write.parquet(f"{folder}/windows")
         windows = spark.read.schema(WINDOWS).parquet(f"{folder}/windows")
         again = windows.groupBy("w1", "w2").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("w1", "w2")
-        spans = spans.unionByName(windows.join(again, ["w1", "w2"]).select(*text, F.col("first").alias("start"), (F.col("first") + length).alias("stop")))
-    copies = texts.where(F.col("n") >= length).groupBy(*text).count().where("count > 1").select(*text, F.lit(0).alias("start"), F.col("n").alias("stop"))
+        spans = spans.unionByName(windows.join(again, ["w1", "w2"]).select(*KEY, F.col("first").alias("start"), (F.col("first") + length).alias("stop")))
+    copies = texts.where(F.col("n") >= length).groupBy(*KEY).count().where("count > 1").select(*KEY, F.lit(0).alias("start"), F.col("n").alias("stop"))
     return spans.unionByName(copies)
 
 
@@ -441,12 +461,22 @@ def with_spans(docs: DataFrame, columns: list[str], text_column: str = "text", l
     raw = F.coalesce(F.col(text_column).cast("binary"), F.lit(b""))
     texts = docs.select(F.struct(*columns).alias("own"), raw.alias("text"))
     texts = texts.withColumns({"k": F.xxhash64("text"), "k2": F.xxhash64(F.lit(1), F.col("text")), "n": F.octet_length("text")})
-    found = None
-    for length, gram in lengths:
-        part = repeated_spans(texts.select("text", "k", "k2", "n"), length, hot, gram, most_anchors).withColumn("length", F.lit(length))
-        found = part if found is None else found.unionByName(part)
-    by_text = found.groupBy("k", "k2", "n").agg(F.collect_set(F.struct("length", "start", "stop")).alias("spans"))
-    return texts.join(by_text.hint("shuffle_hash"), ["k", "k2", "n"], "left").select("own", "text", "spans")
+    spark, found, among = docs.sparkSession, [], None
+    folder = f"{common.shared_folder(spark)}/tidemark-spans-{uuid.uuid4().hex}"
+    lengths = sorted(lengths)
+    for (length, gram), longer in zip(lengths, [*lengths[1:], None], strict=True):
+        part = repeated_spans(texts.select("text", *KEY), length, hot, gram, most_anchors, among)
+        span = F.struct(F.lit(length).alias("length"), "start", "stop")
+        part = part.groupBy(*KEY).agg(F.collect_set(span).alias("spans"), (F.max("stop") - F.min("start")).alias("extent"))
+        if longer:
+            part.write.parquet(f"{folder}/{length}")
+            part = spark.read.parquet(f"{folder}/{length}")
+            among = part.where(F.col("extent") >= longer[0])
+        found.append(part.select(*KEY, "spans"))
+    by_text = found[0]
+    if found[1:]:
+        by_text = reduce(DataFrame.unionByName, found).groupBy(*KEY).agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return texts.join(by_text.hint("shuffle_hash"), KEY, "left").select("own", "text", "spans")
 
 
 def merged(spans, length: int = LENGTH) -> list[tuple[int, int]]:
