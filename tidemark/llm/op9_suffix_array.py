@@ -262,13 +262,13 @@ def _has(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     return ((bitmap[low >> 3] >> (low & 7).astype(np.uint8)) & 1).astype(bool)
 
 
-def _place_scan(maps):
-    """Of the runs, those whose anchor occurs twice."""
+def _marked(maps, name: str):
+    """Of rows with an anchor first, those whose anchor is in the bitmap of that name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        twice = maps.value["twice"]
+        bitmap = maps.value[name]
         for batch in batches:
-            yield batch.filter(pa.array(_has(twice, batch.column(0).to_numpy().view(np.uint64))))
+            yield batch.filter(pa.array(_has(bitmap, batch.column(0).to_numpy().view(np.uint64))))
 
     return run
 
@@ -423,14 +423,16 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT, gram:
     often = _bitmap(twice.where(F.col("rivals") & (F.col("c") > hot)), HOT_BITS)
     sent = {"often": often, "crowded": np.zeros_like(often)}
     if often.any():
-        classes_of = seen.join(twice.where(F.col("rivals") & (F.col("c") > hot)).select("h"), "h").groupBy("h", "ext").agg(F.lit(1)).groupBy("h").count()
+        # An anchor has no more classes than occurrences, so a false positive of the bitmap is never crowded.
+        maps = spark.sparkContext.broadcast(sent)
+        classes_of = common.arrow_map(seen.select("h", "ext"), _marked(maps, "often"), "h long, ext long").distinct().groupBy("h").count()
         sent["crowded"] = _bitmap(classes_of.where(F.col("count") > hot).select("h"), HOT_BITS)
     places = seen
     if known <= most_anchors:
         bits = _bits(known)
         sent |= {"twice": _bitmap(twice, bits), "rivals": _bitmap(twice.where("rivals"), bits)}
         maps = spark.sparkContext.broadcast(sent)
-        places = common.arrow_map(seen, _place_scan(maps), RUNS)
+        places = common.arrow_map(seen, _marked(maps, "twice"), RUNS)
     else:
         maps = spark.sparkContext.broadcast(sent)
         places = seen.join(twice.select("h"), "h").select(*seen.columns)
